@@ -1,5 +1,5 @@
 """The query modules of this subpackage."""
 
-from packetloom.llm import q_canonical
+from packetloom.llm import q_canonical, q_variants
 
-MODULES = [q_canonical]
+MODULES = [q_canonical, q_variants]
