@@ -57,7 +57,7 @@ def step_lookup(signal: Column, steps: list[tuple[float, float]]) -> Column:
     table = F.array(*(F.struct(F.lit(float(a)).alias("at"), F.lit(float(p)).alias("p")) for a, p in sorted(steps)))
     x = tx.clip(signal, 0.0, 1.0)
     below = F.filter(table, lambda s: s["at"] <= x)
-    return F.element_at(below, -1)["p"]
+    return F.try_element_at(below, F.lit(-1))["p"]
 
 
 def hierarchical(samples: DataFrame, levels: list[str], outcome: str, strengths: list[float]) -> DataFrame:
