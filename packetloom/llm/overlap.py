@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from packetloom.llm import variants
 
-EDITS, DAYS = 5, 10
+EDITS, DAYS, LENGTH = 5, 10, 24
 
 
 def day_of(text: Column) -> Column:
@@ -43,12 +43,15 @@ def _words_code(text: Column, width: int) -> Column:
 
 
 def visit_strings(records: DataFrame) -> DataFrame:
-    """record_id, name, day, text: the visit as one string of 26 characters."""
+    """record_id, name, day, text: the visit as one string of LENGTH characters.
+
+    No single null field costs more than four edits.
+    """
     digits = F.lpad(F.regexp_extract(F.coalesce("sponsor_id", F.lit("")), r"([0-9]+)\s*$", 1), 4, "_")
     visa = F.regexp_replace(F.lower(F.coalesce("visa_class", F.lit(""))), "[^a-z0-9]+", "")
     text = F.concat(
         F.right(digits, F.lit(4)), F.rpad(F.substring(visa, 1, 3), 3, "_"), F.right(F.concat(F.lit("_"), visa), F.lit(1)),
-        _words_code(F.col("declared_purpose"), 3), _words_code(F.col("species_code"), 3), _words_code(F.col("home_world"), 3),
+        _words_code(F.col("declared_purpose"), 2), _words_code(F.col("species_code"), 3), _words_code(F.col("home_world"), 3),
     )
     return records.select("record_id", F.coalesce("applicant_name", F.lit("")).alias("name"), day_of(F.col("arrival_date")).alias("day"), text.alias("text"))
 
@@ -89,8 +92,7 @@ def overlaps(evaluation: DataFrame, training: DataFrame, k: int = EDITS, days: i
         rows = visit_strings(records).withColumn("id", F.xxhash64("name", "text", "day"))
         sides.append((rows.select("record_id", "id"), rows.groupBy("id", "name", "text", "day").agg(F.count(F.lit(1)).alias("copies"))))
     (eval_rows, eval_texts), (train_rows, train_texts) = sides
-    length = 26
-    pairs = segment_pairs(eval_texts.select("id", "text", "day"), train_texts.select("id", "text", "day"), length, k, days)
+    pairs = segment_pairs(eval_texts.select("id", "text", "day"), train_texts.select("id", "text", "day"), LENGTH, k, days)
     pairs = pairs.join(eval_texts.select(F.col("id").alias("e"), F.col("text").alias("te"), F.col("day").alias("de"), F.col("name").alias("ne")), "e")
     pairs = pairs.join(train_texts.select(F.col("id").alias("t"), F.col("text").alias("tt"), F.col("day").alias("dt"), F.col("name").alias("nt")), "t")
     near = F.levenshtein("te", "tt", k)

@@ -134,13 +134,13 @@ def _sums(counts: pd.DataFrame, model: dict) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["key", "a", "b", "c", "d"])
 
 
-def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_ROWS) -> dict:
+def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_ROWS, prior_weight: tuple[float, float] = PRIOR_WEIGHT) -> dict:
     """The model after EM over ``patterns`` (field_name, pattern, n).
 
     A claim that nobody makes is never a row, so false claims left unnamed are
     under-counted and plain likelihood would drive every specificity down.  As
     usual for such models, both rates have Beta priors whose weight grows with
-    the source's votes: ``PRIOR_WEIGHT`` times the votes, at the rates of
+    the source's votes: ``prior_weight`` times the votes, at the rates of
     ``BELIEF``.  A source that is never heard keeps those rates.
     """
     model = {"sensitivity": np.full(len(SOURCES), BELIEF[0]), "specificity": np.full(len(SOURCES), BELIEF[1]), "prior": {}}
@@ -162,7 +162,7 @@ def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_R
         rates = []
         for source in SOURCES:
             hits, true_votes, kept_silent, false_votes = by.get(f"source:{source}", (0, 0, 0, 0))
-            pseudo = 1 + (true_votes + false_votes) * np.array(PRIOR_WEIGHT)
+            pseudo = 1 + (true_votes + false_votes) * np.array(prior_weight)
             rates.append(((hits + pseudo[0] * BELIEF[0]) / (true_votes + pseudo[0]), (kept_silent + pseudo[1] * BELIEF[1]) / (false_votes + pseudo[1])))
         rates = np.array(rates)
         prior = {k[6:]: (a + 1) / (b + 2) for k, (a, b, _, _) in by.items() if k.startswith("field:")}
