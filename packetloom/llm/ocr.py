@@ -151,10 +151,15 @@ def bare_form(word: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(closed, r"^[.,;:\"“”'‘’?]+", ""), r"[.,;:\"“”'‘’?)\]]+$", ""))
 
 
-def lexicon(tokens: DataFrame) -> DataFrame:
-    """form, n, support (confidence-weighted count) of the words of all tokens; words cut at a line's end are left out."""
-    form = bare_form(F.col("text"))
-    counted = tokens.where(F.col("text").rlike(r"\S")).groupBy(form.alias("form")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("confidence", F.lit(0.5))).alias("support"))
+def raw_words(tokens: DataFrame) -> DataFrame:
+    """word, form, n, support of the distinct words of all tokens; the form is worked out once a distinct word."""
+    counted = tokens.where(F.col("text").rlike(r"\S")).groupBy(F.col("text").alias("word")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("confidence", F.lit(0.5))).alias("support"))
+    return counted.withColumn("form", bare_form(F.col("word")))
+
+
+def lexicon(words: DataFrame) -> DataFrame:
+    """form, n, support (confidence-weighted count) of ``raw_words``; words cut at a line's end are left out."""
+    counted = words.groupBy("form").agg(F.sum("n").alias("n"), F.sum("support").alias("support"))
     return counted.where((F.col("form") != "") & ~F.col("form").rlike(rf"[{MARKS}]$"))
 
 
@@ -218,9 +223,9 @@ def judge_cuts(cuts: DataFrame, forms: DataFrame) -> DataFrame:
 
 
 def words_of(text_lines: DataFrame) -> DataFrame:
-    """line_id, at, word, form of the whole words of text lines; the caller drops cut ones."""
+    """line_id, at, word of the whole words of text lines; the caller drops cut ones."""
     words = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")
-    return text_lines.select("line_id", F.posexplode(words).alias("at", "word")).withColumn("form", bare_form(F.col("word")))
+    return text_lines.select("line_id", F.posexplode(words).alias("at", "word"))
 
 
 def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -230,14 +235,18 @@ def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, D
     """
     typed = cut(line_kinds(lines.select("line_id", "case_id", "page_index", "line_seq", "text", "block_num", "paragraph_num")))
     text_lines = typed.where(F.col("kind") == "text")
-    forms = cut(lexicon(tokens))
+    raw = cut(raw_words(tokens))
+    forms = cut(lexicon(raw))
     cuts = cut(judge_cuts(cut_words(text_lines), forms))
-    wrong = misread_forms(forms)
+    # words of lines that no token carries have a form too
+    unseen = words_of(text_lines).select("word").distinct().join(raw.select("word"), "word", "left_anti")
+    spelled = raw.select("word", "form").unionByName(unseen.withColumn("form", bare_form(F.col("word"))))
+    wrong = spelled.join(misread_forms(forms), "form").select("word", "right")
     halves = cuts.select(F.col("line_id").alias("line_id"), F.lit(-1).alias("side")).unionByName(cuts.select(F.col("next_id").alias("line_id"), F.lit(0).alias("side")))
     last = F.size(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")) - 1
     sized = text_lines.select("line_id", "text", last.alias("last"))
     skip = halves.join(sized.select("line_id", "last"), "line_id").select("line_id", F.when(F.col("side") == 0, F.lit(0)).otherwise(F.col("last")).alias("at")).distinct()
-    whole = lookup(words_of(text_lines), wrong, ["form"], 500_000).join(skip, ["line_id", "at"], "left_anti")
+    whole = lookup(words_of(text_lines), wrong, ["word"], 500_000).join(skip, ["line_id", "at"], "left_anti")
     whole = whole.select("line_id", "at", "right")
     # a cut word is compared with the word meant; the half that differs is the misread one
     meant = F.coalesce("right", F.col("joined"))
@@ -288,7 +297,7 @@ def paragraphs(lines: DataFrame, tokens: DataFrame) -> DataFrame:
     typed, cuts, wrong = repair(lines, tokens)
     text_lines = typed.where(F.col("kind") == "text")
     joins = cuts.select("line_id", "next_id", "is_break", "joined", "right")
-    words = words_of(text_lines).drop("form")
+    words = words_of(text_lines)
     fixes = wrong.where(F.col("at").isNotNull() & F.col("right").isNotNull()).groupBy("line_id", "at").agg(F.min("right").alias("right"))
     fixed = words.join(fixes, ["line_id", "at"], "left").withColumn("word", F.when(F.col("right").isNotNull() & (F.col("at") > 0), _recased(F.col("word"), F.col("right"))).otherwise(F.col("word")))
     body = fixed.groupBy("line_id").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
