@@ -120,6 +120,12 @@ def _scored(name: str, run: str) -> str:
         CASE WHEN present THEN CASE WHEN coalesce(confidence BETWEEN 0 AND 1, false) THEN pow(confidence - (outcome = 'correct')::INT, 2) ELSE 1.0 END END AS brier FROM out_{name})"""
 
 
+def scored_sql(*names_and_runs: str) -> str:
+    """Common table expressions of scored cases: name, run, name, run, ..."""
+    pairs = zip(names_and_runs[::2], names_and_runs[1::2], strict=True)
+    return ", ".join([_TRUTH, *(_scored(name, run) for name, run in pairs)])
+
+
 _W = f"WITH {_TRUTH}, {_scored('a', 'run_001')}"
 _GOOD_DAY = "coalesce(regexp_full_match(d, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND strftime(try_strptime(d, '%Y-%m-%d'), '%Y-%m-%d') = d, false)"
 _CHECKS = {
