@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 KEYS = ("case_id", "field_name")
 
@@ -32,9 +33,11 @@ def two_pass(views: DataFrame, first: str, second: str) -> DataFrame:
 def lead(views: DataFrame, margin: int = 2) -> DataFrame:
     """case_id, field_name, value whose votes lead the runner-up by at least ``margin``."""
     votes = views.groupBy(*KEYS, "value").agg(F.countDistinct("view").alias("n"))
-    top = votes.groupBy(*KEYS).agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "value")))), 1, 2).alias("top"))
-    first, second = F.col("top")[0], F.coalesce(F.get("top", F.lit(1))["n"], F.lit(0))
-    return top.where(first["n"] - second >= margin).select(*KEYS, first["value"].alias("value"), (first["n"] - second).alias("lead"))
+    # two rows a group are enough; Spark limits each group before the shuffle
+    order = Window.partitionBy(*KEYS).orderBy(F.desc("n"), F.desc("value"))
+    top = votes.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= 2)
+    pair = top.groupBy(*KEYS).agg(F.max_by("value", -F.col("rn")).alias("value"), F.max("n").alias("first"), F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("n"))), F.lit(0)).alias("second"))
+    return pair.where(F.col("first") - F.col("second") >= margin).select(*KEYS, "value", (F.col("first") - F.col("second")).alias("lead"))
 
 
 def set_union(rows: DataFrame, key: str, members: str) -> DataFrame:

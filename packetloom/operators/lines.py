@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from packetloom.functions import geometry
+from packetloom.operators import prefix
 
 LINE_KEY = ("case_id", "page_index", "block_num", "paragraph_num", "line_num")
 #: Content that must not be taken for evidence; fixed values in the pattern syntax Java and RE2 share.
@@ -149,22 +150,22 @@ def paired_labels(lines: DataFrame, label: str) -> DataFrame:
     return out.where(good).select("case_id", "page_index", F.col("line_id").alias("label_id"), F.col("text").alias("label"), F.col("__next.line_id").alias("value_id"), F.col("__next.text").alias("value"))
 
 
-def running_scope(evidence: DataFrame) -> DataFrame:
+def running_scope(evidence: DataFrame, pages_a_chunk: int = 32) -> DataFrame:
     """``evidence`` with the case and applicant in force at each observation of its packet.
 
     The case in force is the last legible case id seen before; the applicant in
-    force is the last legible name since the case last changed.
+    force is the last legible name since the case last changed.  Both are
+    carried over chunks of pages, so a packet of any size is spread.
     """
-    order = Window.partitionBy("case_id").orderBy("page_index", "seq", "cand_id")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    order, chunk = ["page_index", "seq", "cand_id"], F.floor(F.col("page_index") / pages_a_chunk)
     seen = F.when((F.col("field_name") == "case_id") & F.col("legible") & F.col("value").rlike(r"^MIB-[0-9]{6}$"), F.col("value"))
-    out = evidence.withColumn("__seen", seen).withColumn("running_case", F.coalesce(F.last("__seen", ignorenulls=True).over(before), F.col("case_id")))
-    changed = F.col("running_case") != F.lag("running_case", 1).over(order)
-    out = out.withColumn("__changed", F.coalesce(changed, F.lit(False)).cast("int"))
-    out = out.withColumn("__segment", F.sum("__changed").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    out = prefix.last_before(evidence.withColumn("__seen", seen), ["case_id"], order, chunk, F.col("__seen"), "running_case")
+    out = out.withColumn("running_case", F.coalesce("running_case", "case_id"))
+    # a row whose id differs from the one in force switches the rows after it
+    switch = F.coalesce(F.col("__seen") != F.col("running_case"), F.lit(False)).cast("int")
+    out = prefix.total_before(out, ["case_id"], order, chunk, switch, "__segment")
     name = F.when((F.col("field_name") == "applicant_name") & F.col("legible"), F.col("value"))
-    segment = Window.partitionBy("case_id", "__segment").orderBy("page_index", "seq", "cand_id").rowsBetween(Window.unboundedPreceding, -1)
-    return out.withColumn("running_applicant", F.last(name, ignorenulls=True).over(segment)).drop("__seen", "__changed", "__segment")
+    return prefix.last_before(out, ["case_id", "__segment"], order, chunk, name, "running_applicant").drop("__seen", "__segment")
 
 
 def legibility(evidence: DataFrame, floor: float = 0.45, decision_floor: float = 0.28) -> DataFrame:

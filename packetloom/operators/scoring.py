@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from packetloom.functions import text as tx
 
@@ -14,16 +13,20 @@ DECISIONS = ("APPROVED", "DENIED", "NEEDS_REVIEW")
 FEES = ("paid", "waived", "unpaid", "unknown")
 
 
+def _one_per_case(rows: DataFrame, order: Column, pick) -> DataFrame:
+    """One row a case by an aggregate that combines before the shuffle, so a case delivered very often is no hot group."""
+    named = rows.where(F.col("case_id").rlike(r"\S"))
+    return named.groupBy("case_id").agg(pick(F.struct(*(F.col(c) for c in rows.columns)), order).alias("__row")).select("__row.*")
+
+
 def last_truth(labels: DataFrame) -> DataFrame:
     """One row a case: the last delivered; rows without an id are dropped."""
-    latest = Window.partitionBy("case_id").orderBy(F.desc("labelled_at"), F.desc("record_id"))
-    return labels.where(F.col("case_id").rlike(r"\S")).withColumn("__rn", F.row_number().over(latest)).where(F.col("__rn") == 1).drop("__rn")
+    return _one_per_case(labels, F.struct("labelled_at", "record_id"), F.max_by)
 
 
 def first_predictions(predictions: DataFrame) -> DataFrame:
     """One row a case: the first submitted."""
-    first = Window.partitionBy("case_id").orderBy("pred_id")
-    return predictions.where(F.col("case_id").rlike(r"\S")).withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") == 1).drop("__rn")
+    return _one_per_case(predictions, F.col("pred_id"), F.min_by)
 
 
 def _same(field: str, a: Column, b: Column) -> Column:

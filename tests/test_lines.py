@@ -70,3 +70,27 @@ def test_page_types_and_locks(spark, rows):
     assert rows(op.page_locks(df), "n_ids", "locked_to") == [(2, "MIB-000001")]
     empty = spark.createDataFrame([], SCHEMA)
     assert op.page_types(empty).count() == 0 and op.page_locks(empty).count() == 0
+
+
+def test_running_values_alike_for_any_chunking(spark):
+    rng = random.Random(9)
+    schema = "cand_id long, case_id string, page_index int, seq long, field_name string, value string, legible boolean"
+    rows = []
+    for i in range(400):
+        field = rng.choice(["case_id", "applicant_name", "fee_status"])
+        value = {"case_id": f"MIB-00000{rng.randint(1, 2)}", "applicant_name": rng.choice("ABC")}.get(field)
+        rows.append((i, rng.choice(["MIB-000001", None]), i // 7, i, field, value, rng.random() < 0.8))
+    df = spark.createDataFrame(rows, schema)
+    want = {}
+    state = {}
+    for i, case, _, _, field, value, legible in rows:
+        running, name = state.get(case, (case, None))
+        want[i] = (running, name)
+        if legible and field == "case_id" and value != running:
+            running, name = value, None
+        elif legible and field == "applicant_name":
+            name = value
+        state[case] = (running, name)
+    for pages in (1, 5, 1000):
+        got = {r["cand_id"]: (r["running_case"], r["running_applicant"]) for r in op.running_scope(df, pages).collect()}
+        assert got == want
