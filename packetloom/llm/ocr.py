@@ -64,7 +64,8 @@ def with_page_number(lines: DataFrame, out: str) -> DataFrame:
 
     Built in steps, so that each intermediate text is computed once.
     """
-    steps = lines.withColumn("__tidy", F.regexp_replace(F.regexp_replace("text", r"^[\s\[(—–-]+|[\s\])—–-]+$", ""), r"\s+", " "))
+    short = F.when(F.length("text") <= 60, F.col("text"))  # a page number with its marks is far shorter
+    steps = lines.withColumn("__tidy", F.regexp_replace(F.regexp_replace(short, r"^[\s\[(—–-]+|[\s\])—–-]+$", ""), r"\s+", " "))
     steps = steps.withColumn("__tidy", F.when(F.length("__tidy") <= 24, F.col("__tidy")))
     steps = steps.withColumn("__head", skeleton(F.regexp_extract("__tidy", r"^([A-Za-z]+\.?) ?[^ ]+( .*)?$", 1)))
     named = F.col("__head").isin(*_skeletons(PAGE_WORDS))
@@ -239,14 +240,15 @@ def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, D
     forms = cut(lexicon(raw))
     cuts = cut(judge_cuts(cut_words(text_lines), forms))
     # words of lines that no token carries have a form too
-    unseen = words_of(text_lines).select("word").distinct().join(raw.select("word"), "word", "left_anti")
+    whole_words = words_of(text_lines)
+    unseen = whole_words.select("word").distinct().join(raw.select("word"), "word", "left_anti")
     spelled = raw.select("word", "form").unionByName(unseen.withColumn("form", bare_form(F.col("word"))))
     wrong = spelled.join(misread_forms(forms), "form").select("word", "right")
     halves = cuts.select(F.col("line_id").alias("line_id"), F.lit(-1).alias("side")).unionByName(cuts.select(F.col("next_id").alias("line_id"), F.lit(0).alias("side")))
     last = F.size(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")) - 1
     sized = text_lines.select("line_id", "text", last.alias("last"))
     skip = halves.join(sized.select("line_id", "last"), "line_id").select("line_id", F.when(F.col("side") == 0, F.lit(0)).otherwise(F.col("last")).alias("at")).distinct()
-    whole = lookup(words_of(text_lines), wrong, ["word"], 500_000).join(skip, ["line_id", "at"], "left_anti")
+    whole = lookup(whole_words, wrong, ["word"], 500_000).join(skip, ["line_id", "at"], "left_anti")
     whole = whole.select("line_id", "at", "right")
     # a cut word is compared with the word meant; the half that differs is the misread one
     meant = F.coalesce("right", F.col("joined"))
