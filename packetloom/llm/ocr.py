@@ -248,7 +248,9 @@ def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, D
     last = F.size(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")) - 1
     sized = text_lines.select("line_id", "text", last.alias("last"))
     skip = halves.join(sized.select("line_id", "last"), "line_id").select("line_id", F.when(F.col("side") == 0, F.lit(0)).otherwise(F.col("last")).alias("at")).distinct()
-    whole = lookup(whole_words, wrong, ["word"], 500_000).join(skip, ["line_id", "at"], "left_anti")
+    # cut here, or the optimizer would move the anti join below the lookup and shuffle every word
+    hits = cut(lookup(whole_words, wrong, ["word"], 500_000).select("line_id", "at", "right"))
+    whole = hits.join(skip, ["line_id", "at"], "left_anti")
     whole = whole.select("line_id", "at", "right")
     # a cut word is compared with the word meant; the half that differs is the misread one
     meant = F.coalesce("right", F.col("joined"))
