@@ -194,21 +194,24 @@ def fuse(evidence: DataFrame) -> DataFrame:
     judged true, else the likeliest value), n_rows, n_eligible.
     """
     rows = prepared(evidence)
-    chosen = survivors(rows).join(rows.select("cand_id", "value", "source"), "cand_id")
+    multi = F.col("field_name").isin(*MULTI_VALUED)
+    chosen = survivors(rows).join(rows.select("cand_id", "value"), "cand_id")
     judged, _ = judged_claims(rows)
+    # only the true values of multi-valued fields are gathered; a single-valued field keeps its likeliest value
     said = judged.groupBy("case_id", "field_name").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("claim", "probability")))).alias("belief"),
+        F.array_sort(F.collect_list(F.when(multi & (F.col("probability") >= 0.5), F.col("claim")))).alias("true_values"),
         F.max_by("claim", F.struct("probability", "claim")).alias("likeliest"),
     )
-    keys = [chosen["case_id"].eqNullSafe(said["case_id"]), chosen["field_name"].eqNullSafe(said["field_name"])]
-    joined = chosen.join(said, keys).drop(said["case_id"], said["field_name"])
-    multi = F.col("field_name").isin(*MULTI_VALUED)
-    tidy = claim_text(F.col("value"))
-    own = F.when(multi, F.array_distinct(F.split(tidy, r"\s*\|\s*"))).otherwise(F.array(tidy))
-    true_ones = F.map_keys(F.map_filter("belief", lambda _, p: p >= 0.5))
-    return joined.select(
-        "case_id", "field_name", "cand_id", "value",
-        F.array_min(F.transform(own, lambda c: F.try_element_at(F.col("belief"), c))).alias("probability"),
-        F.when(multi & (F.size(true_ones) > 0), true_ones).otherwise(F.array("likeliest")).alias("kept"),
-        "n_rows", "n_eligible",
-    )
+    own = F.explode(F.when(multi, F.array_distinct(F.split(claim_text(F.col("value")), r"\s*\|\s*"))).otherwise(F.array(claim_text(F.col("value")))))
+    claimed = chosen.select("cand_id", "case_id", "field_name", own.alias("claim"))
+    sure = _match(claimed, judged.select("case_id", "field_name", "claim", "probability"), ["case_id", "field_name", "claim"])
+    least = sure.groupBy("cand_id").agg(F.min("probability").alias("probability"))
+    joined = _match(chosen, said, ["case_id", "field_name"]).join(least, "cand_id", "left")
+    kept = F.when(multi & (F.size("true_values") > 0), F.col("true_values")).otherwise(F.array("likeliest"))
+    return joined.select("case_id", "field_name", "cand_id", "value", "probability", kept.alias("kept"), "n_rows", "n_eligible")
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys meet null keys; the keys of ``left`` stay."""
+    renamed = right.select(*(F.col(k).alias(f"__{k}") if k in keys else F.col(k) for k in right.columns))
+    return left.join(renamed, [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]).drop(*(f"__{k}" for k in keys))
