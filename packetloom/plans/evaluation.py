@@ -92,8 +92,9 @@ def smoothed_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linear_map(spark: SparkSession, d: str) -> DataFrame:
-    features = {"confidence": F.col("confidence"), "review": (F.col("adjudication") == "NEEDS_REVIEW").cast("double"), "paid": F.coalesce((F.col("fee_status") == "paid").cast("double"), F.lit(0.0))}
-    new = calibration.linear_recalibration(features, {"confidence": 0.5, "review": -0.125, "paid": 0.0625}, 0.25, F.col("confidence"), 0.75)
+    confidence = tx.safe_share(F.col("confidence"))  # no usable confidence counts as 0
+    features = {"confidence": confidence, "review": (F.col("adjudication") == "NEEDS_REVIEW").cast("double"), "paid": F.coalesce((F.col("fee_status") == "paid").cast("double"), F.lit(0.0))}
+    new = calibration.linear_recalibration(features, {"confidence": 0.5, "review": -0.125, "paid": 0.0625}, 0.25, confidence, 0.75)
     return table(spark, d, "predictions").select("pred_id", F.round(new + 1e-9, 6).alias("confidence"))
 
 
@@ -155,8 +156,9 @@ ORACLE = {
     "k3_smoothed_rates": f"""WITH {_SAMPLES}, b AS (SELECT * FROM samples WHERE fee_status IS NOT NULL), g AS (SELECT avg(correct::INT) AS p FROM b),
         l AS (SELECT adjudication, (sum(correct::INT) + 8 * any_value(g.p)) / (count(*) + 8) AS pa FROM b, g GROUP BY 1)
         SELECT adjudication, fee_status, round(any_value(pa), 6) AS p_adjudication, round((sum(correct::INT) + 2 * any_value(pa)) / (count(*) + 2), 6) AS p_fee_status FROM b JOIN l USING (adjudication) GROUP BY 1, 2""",
-    "k5_linear_map": """SELECT pred_id, round(greatest(0.02::DOUBLE, least(0.98::DOUBLE, 0.75::DOUBLE * (0.25::DOUBLE + confidence * 0.5::DOUBLE + (CASE WHEN adjudication = 'NEEDS_REVIEW' THEN 1.0 ELSE 0.0 END)::DOUBLE * -0.125::DOUBLE
-        + (CASE WHEN fee_status = 'paid' THEN 1.0 ELSE 0.0 END)::DOUBLE * 0.0625::DOUBLE) + 0.25::DOUBLE * confidence)) + 1e-9, 6) AS confidence FROM predictions""",
+    "k5_linear_map": """WITH p AS (SELECT pred_id, adjudication, fee_status, CASE WHEN NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 THEN confidence ELSE 0.0::DOUBLE END AS c FROM predictions)
+        SELECT pred_id, round(greatest(0.02::DOUBLE, least(0.98::DOUBLE, 0.75::DOUBLE * (0.25::DOUBLE + c * 0.5::DOUBLE + (CASE WHEN adjudication = 'NEEDS_REVIEW' THEN 1.0 ELSE 0.0 END)::DOUBLE * -0.125::DOUBLE
+        + (CASE WHEN fee_status = 'paid' THEN 1.0 ELSE 0.0 END)::DOUBLE * 0.0625::DOUBLE) + 0.25::DOUBLE * c)) + 1e-9, 6) AS confidence FROM p""",
     "ps3_isotonic_fit": f"""WITH {_SAMPLES}, s AS (SELECT floor(confidence * {SIGNALS}) / {SIGNALS} AS x, sum(correct::INT) AS g, count(*) AS n FROM samples WHERE correct IS NOT NULL GROUP BY 1),
         r AS (SELECT x, sum(g) OVER (ORDER BY x) AS cg, sum(n) OVER (ORDER BY x) AS cn, g, n FROM s),
         m AS (SELECT k.x AS k, i.x AS i, min((j.cg - i.cg + i.g) / (j.cn - i.cn + i.n)::DOUBLE) AS v FROM r k JOIN r i ON i.x <= k.x JOIN r j ON j.x >= k.x GROUP BY 1, 2),
