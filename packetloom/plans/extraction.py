@@ -30,8 +30,8 @@ def line_cues(spark: SparkSession, d: str) -> DataFrame:
 
 
 def class_cells(spark: SparkSession, d: str) -> DataFrame:
-    """The code printed to the right of the word "class" on the same row."""
-    words = table(spark, d, "ocr_tokens").where("case_id <> 'MIB-000000'").groupBy("case_id", "page_index", "block_num", "paragraph_num", "line_num", "word_num", "text").agg(F.min("box").alias("box"))
+    """The code printed to the right of the word "class" on the same row, in all packets."""
+    words = table(spark, d, "ocr_tokens").groupBy("case_id", "page_index", "block_num", "paragraph_num", "line_num", "word_num", "text").agg(F.min("box").alias("box"))
     words = words.withColumn("cell_id", F.concat_ws("/", "case_id", "page_index", "block_num", "paragraph_num", "line_num", "word_num"))
     pairs = extract.same_row_pairs(words.where("text = 'class'"), words.where(F.col("text").rlike(r"^[A-Z]+-[0-9][.,]?$")))
     return pairs.select("label_id", "case_id", "page_index", "value_id", "value")

@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from packetloom.operators import extract, gates
+from packetloom.plans import extraction
 
 BOX = "struct<left:double,bottom:double,right:double,top:double>"
 
@@ -35,6 +38,27 @@ def test_cells_of_one_row(spark, rows):
     assert rows(extract.same_row_pairs(labels, values), "label_id", "value_id", "value") == [("l", "near", "a")]
 
 
+def test_class_cells_of_all_packets_equal_brute_force(spark, rows, tmp_path):
+    schema = f"case_id string, page_index int, block_num int, paragraph_num int, line_num int, word_num int, text string, box {BOX}"
+    rng, tokens = random.Random(7), []
+    for case, pages in (("MIB-000000", 6), ("MIB-000001", 2)):
+        for page in range(pages):
+            for line in range(5):
+                for word in range(6):
+                    x, y = 60.0 * word + rng.randint(0, 20), 16.0 * line + rng.randint(0, 6)
+                    tokens.append((case, page, 1, 1, line, word, rng.choice(["class", "KX-1", "DR-2.", "form"]), (x, y, x + 50, y + 14)))
+    spark.createDataFrame(tokens, schema).write.parquet(str(tmp_path / "ocr_tokens.parquet"))
+    want = {}
+    for label in tokens:
+        lx, ly = label[7][2], label[7][1::2]
+        right = [("/".join(map(str, v[:6])), v) for v in tokens if v[:2] == label[:2] and v[6][-1] in "12." and v[7][0] >= lx - 8 and min(ly[1], v[7][3]) - max(ly[0], v[7][1]) >= 7]
+        if label[6] == "class" and right:
+            best, value = min(right, key=lambda r: (r[1][7][0], r[0]))
+            want["/".join(map(str, label[:6]))] = (label[0], label[1], best, value[6])
+    got = rows(extraction.class_cells(spark, str(tmp_path)), "label_id", "case_id", "page_index", "value_id", "value")
+    assert got == sorted(((k, *v) for k, v in want.items()), key=repr) and sum(r[1] == "MIB-000000" for r in got) > 20
+
+
 def test_refinement_needs_gain_alignment_and_agreement(spark, rows):
     schema = f"line_id long, case_id string, page_index int, text string, confidence double, box {BOX}"
     box, off = (0.0, 0.0, 100.0, 20.0), (60.0, 0.0, 160.0, 20.0)
