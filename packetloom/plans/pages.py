@@ -64,8 +64,8 @@ def legible_reads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_spans(spark: SparkSession, d: str) -> DataFrame:
-    """Spans of the lines' characters, each line taken as a page of unit boxes."""
-    lines = table(spark, d, "ocr_lines").where("page_index = 0").select("line_id", F.posexplode(F.split("text", "")).alias("pos", "ch"))
+    """Spans of the characters of all lines, each line taken as a page of unit boxes."""
+    lines = table(spark, d, "ocr_lines").select("line_id", F.posexplode(F.split("text", "")).alias("pos", "ch"))
     box = F.struct(F.col("pos").cast("double").alias("left"), F.lit(0.0).alias("bottom"), (F.col("pos") + 1).cast("double").alias("right"), F.lit(1.0).alias("top"))
     chars = lines.where("ch <> ''").select(F.col("line_id").alias("page_id"), "pos", "ch", box.alias("box"), (F.col("pos") > 60).alias("off_crop"))
     return op.text_spans(chars).select("page_id", "start", "text", F.col("box.right").alias("right"), "off_crop")

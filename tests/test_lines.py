@@ -1,6 +1,8 @@
 import random
+import re
 
 from packetloom.operators import lines as op
+from packetloom.plans import pages
 
 SCHEMA = "line_id long, case_id string, page_index int, line_seq int, text string"
 
@@ -94,3 +96,12 @@ def test_running_values_alike_for_any_chunking(spark):
     for pages in (1, 5, 1000):
         got = {r["cand_id"]: (r["running_case"], r["running_applicant"]) for r in op.running_scope(df, pages).collect()}
         assert got == want
+
+
+def test_text_spans_of_all_pages_equal_split(spark, rows, tmp_path):
+    texts = ["Form I-8090", "", None, " two  words ", "x" * 70 + " late", "tab\tbed"]
+    lines = [(10 * p + i, case, p, i, t) for case in ("MIB-000000", "MIB-000001") for p in range(3) for i, t in enumerate(texts)]
+    lines = [(line[0] + 100 * (line[1] == "MIB-000000"), *line[1:]) for line in lines]
+    spark.createDataFrame(lines, SCHEMA).write.parquet(str(tmp_path / "ocr_lines.parquet"))
+    want = [(i, m.start(), m.group(), float(m.end()), m.end() > 61) for i, *_, t in lines for m in re.finditer(r"\S+", t or "")]
+    assert rows(pages.text_spans(spark, str(tmp_path)), "page_id", "start", "text", "right", "off_crop") == sorted(want, key=repr)
