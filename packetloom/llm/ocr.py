@@ -229,10 +229,12 @@ def words_of(text_lines: DataFrame) -> DataFrame:
     return text_lines.select("line_id", F.posexplode(words).alias("at", "word"))
 
 
-def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(typed lines, judged cuts, misread words).
+def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(typed lines, judged cuts, misread words, repairs).
 
     Misread words: line_id, at (null for a word cut at the line's end), right.
+    Repairs: line_id, at, right of words that stand in their line by themselves,
+    among them the second half of a compound cut at its own hyphen.
     """
     typed = cut(line_kinds(lines.select("line_id", "case_id", "page_index", "line_seq", "text", "block_num", "paragraph_num")))
     text_lines = typed.where(F.col("kind") == "text")
@@ -260,12 +262,21 @@ def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, D
     wrong_tail = odd("t") | (F.col("right").isNotNull() & ~tidy.endswith(F.replace(F.col("t"), F.lit("-"), F.lit(""))))
     split = cuts.where(wrong_head).select("line_id", F.lit(None).cast("int").alias("at"), "right")
     split = split.unionByName(cuts.where(wrong_tail).select(F.col("next_id").alias("line_id"), F.lit(0).alias("at"), "right"))
-    return typed, cuts, whole.unionByName(split)
+    # such a half is repaired as in the compound where that is known, else by itself
+    own_hyphen = cuts.where(~F.col("is_break"))
+    parts = F.split("right", "-")
+    n_head = F.size(F.split("h", "-"))
+    rest = F.array_join(F.slice(parts, n_head + 1, F.greatest(F.size(parts) - n_head, F.lit(0))), "-")
+    halved = own_hyphen.where(wrong_tail & (rest != "")).select(F.col("next_id").alias("line_id"), F.lit(0).alias("at"), rest.alias("right"))
+    alone = hits.where("at = 0").join(own_hyphen.where(F.col("right").isNull()).select(F.col("next_id").alias("line_id")), "line_id", "left_semi")
+    cut_again = cuts.join(sized.where("last = 0"), "line_id", "left_semi").select("line_id")
+    second = halved.unionByName(alone.select("line_id", "at", "right")).join(cut_again, "line_id", "left_anti")
+    return typed, cuts, whole.unionByName(split), whole.unionByName(second).where(F.col("right").isNotNull())
 
 
 def findings(lines: DataFrame, tokens: DataFrame) -> DataFrame:
     """line_id, kind: running, page_number, hyphen_break, misread."""
-    typed, cuts, wrong = repair(lines, tokens)
+    typed, cuts, wrong, _ = repair(lines, tokens)
     edges = typed.where(F.col("kind").isin("running", "page_number")).select("line_id", "kind")
     breaks = cuts.where("is_break").select("line_id", F.lit("hyphen_break").alias("kind"))
     misread = wrong.select("line_id").distinct().withColumn("kind", F.lit("misread"))
@@ -273,8 +284,9 @@ def findings(lines: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def _recased(word: Column, right: Column) -> Column:
+    """``right`` in the case and between the marks of ``word``; a glyph at its start is no capital."""
     core = F.regexp_extract(word, r"^([.,;:\"“”'‘’?]*)(.*?)([.,;:\"“”'‘’?)\]]*)$", 2)
-    shaped = F.when((F.upper(core) == core) & (F.length(core) > 1), F.upper(right)).when(F.upper(F.substring(core, 1, 1)) == F.substring(core, 1, 1), F.concat(F.upper(F.substring(right, 1, 1)), F.substring(right, 2, 1000))).otherwise(right)
+    shaped = F.when((F.upper(core) == core) & (F.length(core) > 1), F.upper(right)).when(F.lower(F.substring(core, 1, 1)) != F.substring(core, 1, 1), F.concat(F.upper(F.substring(right, 1, 1)), F.substring(right, 2, 1000))).otherwise(right)
     return F.concat(F.regexp_extract(word, r"^([.,;:\"“”'‘’?]*)", 1), shaped, F.regexp_extract(word, r"([.,;:\"“”'‘’?)\]]*)$", 1))
 
 
@@ -298,12 +310,12 @@ def paragraphs(lines: DataFrame, tokens: DataFrame) -> DataFrame:
     A paragraph goes on over a page's end when its last line there does not end
     a sentence.
     """
-    typed, cuts, wrong = repair(lines, tokens)
+    typed, cuts, _, repairs = repair(lines, tokens)
     text_lines = typed.where(F.col("kind") == "text")
     joins = cuts.select("line_id", "next_id", "is_break", "joined", "right")
     words = words_of(text_lines)
-    fixes = wrong.where(F.col("at").isNotNull() & F.col("right").isNotNull()).groupBy("line_id", "at").agg(F.min("right").alias("right"))
-    fixed = words.join(fixes, ["line_id", "at"], "left").withColumn("word", F.when(F.col("right").isNotNull() & (F.col("at") > 0), _recased(F.col("word"), F.col("right"))).otherwise(F.col("word")))
+    fixes = repairs.groupBy("line_id", "at").agg(F.min("right").alias("right"))
+    fixed = words.join(fixes, ["line_id", "at"], "left").withColumn("word", F.when(F.col("right").isNotNull(), _recased(F.col("word"), F.col("right"))).otherwise(F.col("word")))
     body = fixed.groupBy("line_id").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
     head = joins.select("line_id", F.col("is_break").alias("cut_break"), F.coalesce("right", F.when(F.col("is_break"), F.col("joined"))).alias("whole"))
     taken = joins.where("is_break").select(F.col("next_id").alias("line_id"), F.lit(True).alias("taken"))

@@ -51,6 +51,28 @@ def test_paragraphs_are_joined(spark):
     assert "reviewed the registry extract before the counter-seal keeper left. The manifest was complete." in text
 
 
+def test_first_words_of_lines_are_repaired(spark):
+    pages = {
+        "first": ["The officer kept the", "rnanifest, and the", "0fflcer left."],
+        # the tail of a broken word goes to the line before, and only there
+        "taken": ["The officer kept the mani-", "fesf here."],
+        # a compound keeps its hyphen, its halves stay words of their lines
+        "compound": ["The counter-", "sea1 keeper left."],
+        # neither form of the two words is known together
+        "apart": ["The officer-", "rnanifest was kept."],
+    }
+    rows = [(10 * c + i, case, 0, i, t, 1, 1) for c, (case, texts) in enumerate(pages.items()) for i, t in enumerate(texts)]
+    known = "the officer kept the manifest and the counter-seal keeper left here was".split() * 50
+    tokens = [(w, 0.9) for w in known] + [(w, 0.9) for *_, t, _, _ in rows for w in t.split()]
+    got = {r["case_id"]: r["text"] for r in ocr.paragraphs(spark.createDataFrame(rows, LINES), spark.createDataFrame(tokens, "text string, confidence double")).collect()}
+    assert got == {
+        "first": "The officer kept the manifest, and the officer left.",
+        "taken": "The officer kept the manifest here.",
+        "compound": "The counter-seal keeper left.",
+        "apart": "The officer-manifest was kept.",
+    }
+
+
 def test_skeletons_coincide(spark):
     pairs = [("manifest", "rnanifest"), ("officer", "0fflcer"), ("clerk", "(1erk"), ("under", "urider"), ("quiet", "qiiiet"), ("window", "vvinclovv"), ("the", "fhc"), ("certificate", "certiﬁcafe")]
     df = spark.createDataFrame(pairs, "a string, b string")
