@@ -73,11 +73,9 @@ def _samples(spark: SparkSession, d: str) -> DataFrame:
 
 
 def isotonic(spark: SparkSession, d: str) -> DataFrame:
-    """The isotonic fit of correctness on confidence in twentieths, read at every twentieth."""
-    signal = F.floor(F.col("confidence") * SIGNALS) / SIGNALS
-    steps = calibration.isotonic_steps(_samples(spark, d).select(signal.alias("signal"), "correct"), "signal", "correct")
-    grid = spark.range(SIGNALS + 1).select((F.col("id") / SIGNALS).alias("signal"))
-    return grid.select("signal", F.round(calibration.step_lookup(F.col("signal"), steps), 6).alias("probability"))
+    """The steps of the isotonic fit of correctness on the confidence as given: breakpoint, probability."""
+    steps = calibration.isotonic_steps(_samples(spark, d), "confidence", "correct")
+    return spark.createDataFrame(steps, "signal double, probability double").select("signal", F.round("probability", 6).alias("probability"))
 
 
 def mapped_confidence(spark: SparkSession, d: str) -> DataFrame:

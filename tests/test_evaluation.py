@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from packetloom.operators import calibration, scoring, splits
+from packetloom.plans import evaluation
 
 FIELDS = [*scoring.WEIGHTS, "adjudication"]
 GOOD = {"applicant_name": "Zed", "species_code": "S", "home_world": "H", "visa_class": "V", "sponsor_id": "SPN-0001", "arrival_date": "2026-01-01", "declared_purpose": "p", "risk_flags": "b|a", "fee_status": "paid", "adjudication": "DENIED"}
@@ -89,6 +90,27 @@ def test_isotonic_equals_minimax(spark, block_rows):
         assert got[x] == pytest.approx(p)
 
 
+def test_isotonic_query_returns_the_steps_of_the_raw_confidence(spark, tmp_path):
+    rng = random.Random(5)
+    right = [rng.random() < 0.6 for _ in range(300)]
+    confidence = [rng.choice([0.031, 0.712, 0.713, 0.7149, 0.9, rng.random()]) for _ in right]
+    truth(spark, *({} for _ in right)).withColumn("case_id", F.format_string("MIB-%06d", "record_id")).write.parquet(str(tmp_path / "train_labels.parquet"))
+    p = predicted(spark, *({"confidence": c, "adjudication": "DENIED" if ok else "APPROVED"} for c, ok in zip(confidence, right)))
+    p.withColumn("case_id", F.format_string("MIB-%06d", "pred_id")).withColumn("run_id", F.lit("run_001")).write.parquet(str(tmp_path / "predictions.parquet"))
+    blocks = []
+    for x in sorted(set(confidence)):
+        hits = [ok for c, ok in zip(confidence, right) if c == x]
+        blocks.append([x, sum(hits), len(hits)])
+        while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] > blocks[-1][1] / blocks[-1][2]:
+            _, good, n = blocks.pop()
+            blocks[-1] = [blocks[-1][0], blocks[-1][1] + good, blocks[-1][2] + n]
+    want = [(x, good / n) for x, good, n in blocks]
+    want = [(0.0, want[0][1]), *want, (1.0, want[-1][1])]
+    got = evaluation.isotonic(spark, str(tmp_path)).orderBy("signal").collect()
+    assert [r["signal"] for r in got] == [x for x, _ in want] and len(want) > 5
+    assert [r["probability"] for r in got] == pytest.approx([p for _, p in want], abs=1e-6)
+
+
 def test_step_lookup_bounds(spark):
     steps = [(0.0, 0.2), (0.5, 0.55), (1.0, 0.95)]
     df = spark.createDataFrame([(-1.0,), (0.0,), (0.4999,), (0.5,), (7.0,), (None,)], "x double")
