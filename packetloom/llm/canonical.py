@@ -185,20 +185,24 @@ class TermIndex:
             if any(p.endswith(".") for p in form):
                 self.short.setdefault(" ".join(form), set()).add(term)
 
-    def search(self, value: str) -> list[tuple[int, int, int]]:
-        """(distance, bag distance, term) of the nearest entries within the radius."""
+    def search(self, value: str) -> list[tuple[int, int, int, int]]:
+        """(kind, distance, bag distance, term) of the nearest entries within the radius.
+
+        The kind is that of the match: 0 code, 1 short form, 2 exact, 3 tree.  A
+        lower kind goes before a higher one whatever the distance.
+        """
         text = bare(value)
         code = _code(text)
         if code in self.codes:
-            return [(0, 0, t) for t in self.codes[code]]
+            return [(0, 0, 0, t) for t in self.codes[code]]
         words = [w for w in re.split(r"[\s_]+", text) if w not in SMALL_WORDS]
         if any(w.endswith(".") for w in words):
             form = " ".join(w if w.endswith(".") else compact(w) for w in words)
             if form in self.short:
-                return [(0, 0, t) for t in self.short[form]]
+                return [(1, 0, 0, t) for t in self.short[form]]
         key = compact(text)
         if key in self.exact:
-            return [(0, 0, t) for t in self.exact[key]]
+            return [(2, 0, 0, t) for t in self.exact[key]]
         best: dict[int, tuple[int, int]] = {}
         for tree, k in ((self.raw, key), (self.fold, folded(key))):
             for d, at, terms in tree.within(k, radius(k + "xx")):
@@ -210,7 +214,7 @@ class TermIndex:
         if not best:
             return []
         top = min(best.values())
-        return [(*score, t) for t, score in best.items() if score == top]
+        return [(3, *score, t) for t, score in best.items() if score == top]
 
 
 def _build(terms: Iterable[tuple[str, int, str]]) -> dict[str, TermIndex]:
@@ -221,7 +225,7 @@ def _build(terms: Iterable[tuple[str, int, str]]) -> dict[str, TermIndex]:
     return out
 
 
-_MATCH = "field_name string, value string, distance int, bag int, term_id int"
+_MATCH = "field_name string, value string, kind int, distance int, bag int, term_id int"
 
 
 def _winners(index: dict[str, TermIndex], values: pd.DataFrame) -> pd.DataFrame:
@@ -229,7 +233,7 @@ def _winners(index: dict[str, TermIndex], values: pd.DataFrame) -> pd.DataFrame:
     for field, value in zip(values["field_name"], values["value"], strict=True):
         found = sorted(index[field].search(value)) if field in index else []
         rows += [(field, value, *hit) for hit in found[:2]]  # two suffice to see a tie
-    return pd.DataFrame(rows, columns=["field_name", "value", "distance", "bag", "term_id"])
+    return pd.DataFrame(rows, columns=["field_name", "value", "kind", "distance", "bag", "term_id"])
 
 
 def _names(terms: DataFrame) -> DataFrame:
@@ -271,10 +275,10 @@ def map_to_terms(values: DataFrame, terms: DataFrame, tree_entries: int = TREE_E
             return _winners(index, values_pdf)
 
         found = left.groupBy("__shard", "__block").cogroup(right.groupBy("__shard", "__block")).applyInPandas(search_shard, _MATCH)
-    hits = F.array_sort(F.collect_set(F.struct("distance", "bag", "term_id")))
+    hits = F.array_sort(F.collect_set(F.struct("kind", "distance", "bag", "term_id")))
     merged = found.groupBy("field_name", "value").agg(hits.alias("hits"))
     first, second = F.element_at("hits", 1), F.try_element_at("hits", F.lit(2))
-    tied = second.isNotNull() & (second["distance"] == first["distance"]) & (second["bag"] == first["bag"])
+    tied = second.isNotNull() & (second["kind"] == first["kind"]) & (second["distance"] == first["distance"]) & (second["bag"] == first["bag"])
     best = merged.select("field_name", "value", F.when(~tied, first["term_id"]).alias("term_id"), first["distance"].alias("distance"))
     return values.join(best, ["field_name", "value"], "left").withColumn("term_id", F.coalesce("term_id", F.lit(0)))
 

@@ -57,6 +57,15 @@ def test_values_map_alike_in_one_tree_and_in_shards(spark, tree_entries):
     assert {(r["field_name"], r["value"]): r["term_id"] for r in out.collect()} == VALUES
 
 
+@pytest.mark.parametrize("tree_entries", [100, 1])
+def test_an_exact_entry_beats_a_look_alike_of_another_shard(spark, tree_entries):
+    words = ["boron", "cobalt", "orchid", "olive", "onyx", "harbor", "lotus", "falcon"]
+    terms = [(2 * i + k, "world", f"{w if k == 1 else w.replace('o', '0')} gate", None) for i, w in enumerate(words) for k in (1, 2)]
+    values = spark.createDataFrame([("world", f"{w.upper()} GATE") for w in words], "field_name string, value string")
+    out = canonical.map_to_terms(values, spark.createDataFrame(terms, SCHEMA), tree_entries=tree_entries)
+    assert {r["value"]: r["term_id"] for r in out.collect()} == {f"{w.upper()} GATE": 2 * i + 1 for i, w in enumerate(words)}
+
+
 def test_terms_edge_cases(spark):
     terms = spark.createDataFrame(TERMS, SCHEMA)
     rows = spark.createDataFrame([("s", 1, "visa", "KX-1"), ("s", 2, "visa", "kx1"), ("s", 3, "world", "zz")], "src string, row_id long, field_name string, value string")
