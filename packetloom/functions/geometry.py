@@ -41,9 +41,13 @@ def contains(outer: Column, inner: Column, tolerance: float = 0.5) -> Column:
 
 
 def same_row(label: Column, value: Column) -> Column:
-    """The value shares at least half of the lower height with the label and starts no more than 8 px inside it."""
+    """The value shares at least half of the lower height with the label and starts no more than 8 px inside it.
+
+    A box without height is on no row.
+    """
     shared = F.least(label["top"], value["top"]) - F.greatest(label["bottom"], value["bottom"])
-    return (shared >= 0.5 * F.least(height(label), height(value))) & (value["left"] >= label["right"] - 8)
+    lower = F.least(height(label), height(value))
+    return (lower > 0) & (shared >= 0.5 * lower) & (value["left"] >= label["right"] - 8)
 
 
 def aligned(a: Column, b: Column) -> Column:

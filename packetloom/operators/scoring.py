@@ -9,6 +9,7 @@ from packetloom.functions import text as tx
 
 #: Weights of the scored fields; fixed values.
 WEIGHTS = {"applicant_name": 5, "species_code": 6, "home_world": 5, "visa_class": 5, "sponsor_id": 5, "arrival_date": 4, "declared_purpose": 3, "risk_flags": 8, "fee_status": 4}
+#: The decisions and the fee states; fixed values.
 DECISIONS = ("APPROVED", "DENIED", "NEEDS_REVIEW")
 FEES = ("paid", "waived", "unpaid", "unknown")
 

@@ -11,7 +11,6 @@ from packetloom.session import table
 
 SEED = "packet-split"
 STEPS = [(0.0, 0.2), (0.5, 0.55), (0.75, 0.8), (1.0, 0.95)]
-SIGNALS = 20
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
@@ -36,7 +35,7 @@ def confusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def field_rates(spark: SparkSession, d: str) -> DataFrame:
-    return scoring.field_rates(_cases(spark, d)).select("field_name", "n_matched")
+    return scoring.field_rates(_cases(spark, d))
 
 
 def error_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -142,7 +141,7 @@ ORACLE = {
         x AS (SELECT *, 50.0 * fp / (n * {sum(scoring.WEIGHTS.values())}) AS ex, 80.0 * dp / (n * 8) AS cl, coalesce(20 * greatest(0.0, 1 - 2 * mb), 0) AS ca, 10.0 * miss / n AS pe FROM s)
         SELECT n AS n_cases, miss AS n_missing, round(ex::DOUBLE, 6) AS extraction, round(cl::DOUBLE, 6) AS classification, round(ca::DOUBLE, 6) AS calibration, round(pe::DOUBLE, 6) AS missing_penalty, round((ex + cl + ca - pe)::DOUBLE, 6) AS total, round(mb, 6) AS mean_brier FROM x""",
     "a2_confusion": f"{_W} SELECT wanted, decided, count(*) AS n_cases FROM a GROUP BY 1, 2",
-    "a3_field_rates": _W + " " + " UNION ALL ".join(f"SELECT '{f}' AS field_name, sum(m_{f}) AS n_matched FROM a" for f in scoring.WEIGHTS),
+    "a3_field_rates": _W + " " + " UNION ALL ".join(f"SELECT '{f}' AS field_name, sum(m_{f}) AS n_matched, round(avg(m_{f}), 6) AS match_rate FROM a" for f in scoring.WEIGHTS),
     "a4_error_groups": _W + " " + " UNION ALL ".join(f"SELECT '{k}' AS dimension, {k} AS member, count(*) AS n_cases FROM a WHERE outcome <> 'correct' GROUP BY {k}" for k in ("outcome", "wanted", "decided")),
     "j11_regressions": f"WITH {_TRUTH}, {_scored('a', 'run_001')}, {_scored('b', 'run_002')} SELECT b.case_id, b.outcome, b.wanted, b.decided FROM b JOIN a USING (case_id) WHERE a.outcome = 'correct' AND b.outcome <> 'correct'",
     "e1_row_errors": "WITH r AS (SELECT *, regexp_replace(arrival_date, '^\\s+|\\s+$', '', 'g') AS d FROM predictions) " + " UNION ALL ".join(f"SELECT run_id, '{k}' AS error, count(*) AS n_rows FROM r WHERE {v} GROUP BY 1" for k, v in _CHECKS.items()),
@@ -157,9 +156,4 @@ ORACLE = {
     "k5_linear_map": """WITH p AS (SELECT pred_id, adjudication, fee_status, CASE WHEN NOT isnan(confidence) AND confidence BETWEEN 0 AND 1 THEN confidence ELSE 0.0::DOUBLE END AS c FROM predictions)
         SELECT pred_id, round(greatest(0.02::DOUBLE, least(0.98::DOUBLE, 0.75::DOUBLE * (0.25::DOUBLE + c * 0.5::DOUBLE + (CASE WHEN adjudication = 'NEEDS_REVIEW' THEN 1.0 ELSE 0.0 END)::DOUBLE * -0.125::DOUBLE
         + (CASE WHEN fee_status = 'paid' THEN 1.0 ELSE 0.0 END)::DOUBLE * 0.0625::DOUBLE) + 0.25::DOUBLE * c)) + 1e-9, 6) AS confidence FROM p""",
-    "ps3_isotonic_fit": f"""WITH {_SAMPLES}, s AS (SELECT floor(confidence * {SIGNALS}) / {SIGNALS} AS x, sum(correct::INT) AS g, count(*) AS n FROM samples WHERE correct IS NOT NULL GROUP BY 1),
-        r AS (SELECT x, sum(g) OVER (ORDER BY x) AS cg, sum(n) OVER (ORDER BY x) AS cn, g, n FROM s),
-        m AS (SELECT k.x AS k, i.x AS i, min((j.cg - i.cg + i.g) / (j.cn - i.cn + i.n)::DOUBLE) AS v FROM r k JOIN r i ON i.x <= k.x JOIN r j ON j.x >= k.x GROUP BY 1, 2),
-        f AS (SELECT k AS x, max(v) AS p FROM m GROUP BY 1)
-        SELECT q / {SIGNALS}::DOUBLE AS signal, round(coalesce((SELECT arg_max(p, x) FROM f WHERE x <= q / {SIGNALS}::DOUBLE), (SELECT arg_min(p, x) FROM f)), 6) AS probability FROM range({SIGNALS + 1}) t(q)""",
 }

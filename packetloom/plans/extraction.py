@@ -72,9 +72,9 @@ ORACLE = {
         UNION ALL SELECT record_id * 10 + 3, 'fee_status', fee_status FROM train_labels UNION ALL SELECT record_id * 10 + 4, 'adjudication', adjudication FROM train_labels UNION ALL SELECT record_id * 10 + 5, 'visa_class', {_T('visa_class')} FROM train_labels""",
     "x23_narrative_facts": " UNION ALL ".join(f"SELECT doc_id, '{n}' AS fact, regexp_extract(text, '{p}', {g}) AS value FROM documents WHERE regexp_extract(text, '{p}', {g}) <> ''" for n, (p, g) in extract.FACTS.items()),
     "x5_line_cues": " UNION ALL ".join(f"SELECT '{n}' AS cue, count(*) AS n_lines FROM ocr_lines WHERE regexp_matches(text, '{p}') HAVING count(*) > 0" for n, p in extract.CUES.items()),
-    "j5_class_cells": """WITH w AS (SELECT case_id, page_index, concat_ws('/', case_id, page_index, block_num, paragraph_num, line_num, word_num) AS cell_id, text, min(box) AS box FROM ocr_tokens WHERE case_id <> 'MIB-000000' GROUP BY case_id, page_index, block_num, paragraph_num, line_num, word_num, text),
+    "j5_class_cells": """WITH w AS (SELECT case_id, page_index, concat_ws('/', case_id, page_index, block_num, paragraph_num, line_num, word_num) AS cell_id, text, min(box) AS box FROM ocr_tokens GROUP BY case_id, page_index, block_num, paragraph_num, line_num, word_num, text),
         p AS (SELECT l.cell_id AS label_id, l.case_id, l.page_index, v.cell_id AS value_id, v.text AS value, row_number() OVER (PARTITION BY l.cell_id ORDER BY v.box."left", v.cell_id) AS rn FROM w l JOIN w v USING (case_id, page_index)
-          WHERE l.text = 'class' AND regexp_full_match(v.text, '[A-Z]+-[0-9][.,]?') AND least(l.box.top, v.box.top) - greatest(l.box.bottom, v.box.bottom) >= 0.5 * least(greatest(0, l.box.top - l.box.bottom), greatest(0, v.box.top - v.box.bottom)) AND v.box."left" >= l.box."right" - 8)
+          WHERE l.text = 'class' AND regexp_full_match(v.text, '[A-Z]+-[0-9][.,]?') AND least(l.box.top - l.box.bottom, v.box.top - v.box.bottom) > 0 AND least(l.box.top, v.box.top) - greatest(l.box.bottom, v.box.bottom) >= 0.5 * least(greatest(0, l.box.top - l.box.bottom), greatest(0, v.box.top - v.box.bottom)) AND v.box."left" >= l.box."right" - 8)
         SELECT label_id, case_id, page_index, value_id, value FROM p WHERE rn = 1""",
     "e9_release_gate": f"""WITH {scored_sql("a", "run_001", "b", "run_002")}, s AS (SELECT count(CASE WHEN a.case_id IS NULL OR b.case_id IS NULL THEN 1 END) AS unc,
           count(CASE WHEN b.outcome = 'catastrophic_false_approval' THEN 1 END) - count(CASE WHEN a.outcome = 'catastrophic_false_approval' THEN 1 END) AS fa, count(CASE WHEN b.outcome = 'missing_case' THEN 1 END) - count(CASE WHEN a.outcome = 'missing_case' THEN 1 END) AS mi,

@@ -68,7 +68,7 @@ def text_spans(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "ocr_lines").select("line_id", F.posexplode(F.split("text", "")).alias("pos", "ch"))
     box = F.struct(F.col("pos").cast("double").alias("left"), F.lit(0.0).alias("bottom"), (F.col("pos") + 1).cast("double").alias("right"), F.lit(1.0).alias("top"))
     chars = lines.where("ch <> ''").select(F.col("line_id").alias("page_id"), "pos", "ch", box.alias("box"), (F.col("pos") > 60).alias("off_crop"))
-    return op.text_spans(chars).select("page_id", "start", "text", F.col("box.right").alias("right"), "off_crop")
+    return op.text_spans(chars).select("page_id", "start", "text", F.col("box.right").alias("right"), "off_crop", "truncated")
 
 
 QUERIES = {
@@ -104,7 +104,7 @@ ORACLE = {
     "x17_legible_reads": """WITH r AS (SELECT field_name, value, legible, CASE WHEN ocr_confidence > 1 THEN ocr_confidence / 100 ELSE ocr_confidence END AS c,
         field_name = 'adjudication' AND regexp_replace(lower(evidence_type), '[^a-z]', '', 'g') IN ('adjudicatorstamp', 'signedmanualnote') AS low FROM candidate_evidence)
         SELECT field_name, count(CASE WHEN legible AND coalesce(c >= CASE WHEN low THEN 0.28 ELSE 0.45 END, false) THEN value END) AS n_read, count(*) AS n_rows FROM r GROUP BY 1""",
-    "s7_text_spans": """WITH c AS (SELECT line_id AS page_id, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) - 1 AS pos FROM ocr_lines WHERE page_index = 0),
-        i AS (SELECT *, sum(regexp_full_match(ch, '\\s')::INT) OVER (PARTITION BY page_id ORDER BY pos) AS island FROM c)
-        SELECT page_id, min(pos) AS start, string_agg(ch, '' ORDER BY pos) AS text, (max(pos) + 1)::DOUBLE AS "right", bool_or(pos > 60) AS off_crop FROM i WHERE NOT regexp_full_match(ch, '\\s') GROUP BY page_id, island""",
+    "s7_text_spans": """WITH c AS (SELECT line_id AS page_id, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) - 1 AS pos FROM ocr_lines),
+        i AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n, sum(regexp_full_match(ch, '\\s')::INT) OVER (PARTITION BY page_id ORDER BY pos) AS island FROM c)
+        SELECT page_id, min(pos) AS start, string_agg(ch, '' ORDER BY pos) AS text, (max(pos) + 1)::DOUBLE AS "right", bool_or(pos > 60) AS off_crop, bool_or(n > 20000) AS truncated FROM i WHERE NOT regexp_full_match(ch, '\\s') GROUP BY page_id, island""",
 }

@@ -15,6 +15,7 @@ from packetloom.functions import text as tx
 from packetloom.operators.structural_csv import SUBMISSION_FIELDS
 
 PREDICTION = T.StructType([*(T.StructField(f, T.StringType()) for f in SUBMISSION_FIELDS[:-1]), T.StructField("confidence", T.DoubleType())])
+#: Columns of a recogniser's output and wrapper keys of submissions; fixed values.
 TSV_COLUMNS = ("level", "page_num", "block_num", "par_num", "line_num", "word_num", "left", "top", "width", "height", "conf", "text")
 WRAPPERS = ("predictions", "submission", "results", "cases")
 

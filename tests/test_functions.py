@@ -56,5 +56,15 @@ def test_canonical_by_ratio(spark, rows):
 def test_boxes(spark):
     df = spark.sql("select named_struct('left', 0d, 'bottom', 0d, 'right', 10d, 'top', 10d) a, named_struct('left', 5d, 'bottom', 0d, 'right', 15d, 'top', 10d) b, named_struct('left', 3d, 'bottom', 3d, 'right', 1d, 'top', 1d) c")
     a, b, c = F.col("a"), F.col("b"), F.col("c")
-    got = df.select(geometry.iou(a, b), geometry.area(c), geometry.contains(a, b), geometry.aligned(a, a), geometry.same_row(a, b)).first()
-    assert got[0] == pytest.approx(1 / 3) and tuple(got)[1:] == (0.0, False, True, False)
+    got = df.select(geometry.iou(a, b), geometry.area(c), geometry.contains(a, b), geometry.aligned(a, a)).first()
+    assert got[0] == pytest.approx(1 / 3) and tuple(got)[1:] == (0.0, False, True)
+
+
+@pytest.mark.parametrize(
+    ("value", "same"),
+    [((5.0, 0.0, 15.0, 10.0), True), ((2.0, 0.0, 15.0, 10.0), True), ((1.9, 0.0, 15.0, 10.0), False), ((12.0, 5.0, 20.0, 15.0), True), ((12.0, 5.1, 20.0, 15.1), False), ((12.0, 5.0, 20.0, 5.0), False), ((12.0, 7.0, 20.0, 5.0), False)],
+)
+def test_rows_of_boxes(spark, value, same):
+    box = "struct<left:double,bottom:double,right:double,top:double>"
+    df = spark.createDataFrame([((0.0, 0.0, 10.0, 10.0), value)], f"a {box}, b {box}")
+    assert df.select(geometry.same_row(F.col("a"), F.col("b"))).first()[0] == same
