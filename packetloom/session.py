@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +47,3 @@ def maybe_broadcast(df: DataFrame, limit: int = 100_000) -> DataFrame:
     """Broadcast ``df`` when it has at most ``limit`` rows, else leave the join to Catalyst."""
     n = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     return F.broadcast(df) if n <= limit else df
-
-
-def quiet_python_threads() -> None:
-    """One native thread in each Python worker; Spark's cores are the parallelism."""
-    os.environ.setdefault("OMP_NUM_THREADS", "1")
