@@ -20,6 +20,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.fuse(_evidence(spark, sf_dir)).select("case_id", "field_name", "cand_id")
 
 
+def p4_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that the model keeps for each group, all true ones for risk flags, beside the survivor's own."""
+    return op.fuse(_evidence(spark, sf_dir)).select(
+        "case_id", "field_name", "cand_id", "value", F.array_join("kept", "|").alias("kept"), F.round("probability", 6).alias("probability"), F.round("kept_probability", 6).alias("kept_probability")
+    )
+
+
 def p4_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inferred sensitivity and specificity of each evidence type."""
     _, model = op.judged_claims(op.prepared(_evidence(spark, sf_dir)))
@@ -41,7 +48,7 @@ def p4_against_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"p4_found": p4_found, "p4_sources": p4_sources, "p4_against_resolved": p4_against_resolved}
+QUERIES = {"p4_found": p4_found, "p4_fused": p4_fused, "p4_sources": p4_sources, "p4_against_resolved": p4_against_resolved}
 ORACLE = {
     "p4_found": r"""
 WITH rows AS (

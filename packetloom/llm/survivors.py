@@ -8,6 +8,13 @@ unnamed), and each field a share of true claims; expectation-maximisation
 infers all of them and the probability of every claim.  Fields that may hold
 several values keep each value whose probability reaches one half.
 
+A false value that nobody names is no row, and without such values every false
+claim would have a speaker and every specificity would be too low.  A field's
+domain is therefore completed: the distinct claims of the field that a group
+does not hold count as values left unnamed by all sources that spoke there.
+They are numbers alone, one per (field, set of speaking sources).  With them
+the rates follow from the votes; the prior is worth ``PSEUDO`` votes.
+
 The sufficient statistics are the counts of (field, pattern of votes).  With S
 sources and F fields there are at most F * 3^S patterns however many rows there
 are; they are counted by one pre-aggregated shuffle and fitted on the driver
@@ -15,12 +22,13 @@ when ``small_rows`` finds them few, else by partial sums in Spark, which give
 the same numbers.
 
 The survivor of a group is its first eligible row in a declared order of
-trust; the model's probability comes with it.  Groups are reduced by
-aggregates alone, so a group of any size stays out of a single task's memory.
+trust; the model's probability comes with it.  One scan folds the rows to
+distinct claims, and groups are reduced by aggregates alone, so a group of any
+size stays out of a single task's memory.
 
 Defined results: a group without an eligible row has no survivor; null keys
-form a group of their own; unknown evidence types rank last; ties end at the
-smaller id.
+form a group of their own; unknown evidence types rank last and have no say in
+the model; ties end at the smaller id.
 """
 
 from __future__ import annotations
@@ -30,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packetloom.session import small_rows
+from packetloom.session import cut, maybe_broadcast, small_rows
 
 #: The order of trust; fixed values.
 TRUST = {
@@ -47,8 +55,8 @@ SOURCES = tuple(TRUST)
 NO_VALUE = r"^[\[({<]?\s*(unknown|n/a|illegible|-|\?)?\s*[\])}>]?$"
 MULTI_VALUED = ("risk_flags",)
 ROUNDS, TOLERANCE, PATTERN_ROWS = 200, 1e-7, 200_000
-#: Rates believed beforehand (sensitivity, specificity) and the weight of that belief per vote.
-BELIEF, PRIOR_WEIGHT = (0.8, 0.9), (0.1, 1.0)
+#: Rates believed beforehand (sensitivity, specificity) and the votes that this belief is worth.
+BELIEF, PSEUDO = (0.8, 0.9), 2.0
 
 
 def source_of(evidence_type: Column) -> Column:
@@ -84,27 +92,47 @@ def prepared(evidence: DataFrame) -> DataFrame:
     )
 
 
-def survivors(rows: DataFrame) -> DataFrame:
-    """case_id, field_name, cand_id, n_rows, n_eligible of groups with two rows and an eligible one."""
-    order = F.struct(trust_of(F.col("source")).alias("trust"), F.coalesce(-F.col("confidence"), F.lit(1.0)).alias("c"), "cand_id")
-    first = F.min(F.when(F.col("eligible"), order))
-    grouped = rows.groupBy("case_id", "field_name").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("eligible").alias("n_eligible"), first.alias("first"))
-    return grouped.where((F.col("n_rows") >= 2) & (F.col("n_eligible") >= 1)).select("case_id", "field_name", F.col("first.cand_id").alias("cand_id"), "n_rows", "n_eligible")
+def _claims_of(field: Column, value: Column, multi_valued: tuple[str, ...]) -> Column:
+    """The claims that a value makes: its members for multi-valued fields, else itself."""
+    tidy = claim_text(value)
+    return F.when(field.isin(*multi_valued), F.array_distinct(F.split(tidy, r"\s*\|\s*"))).otherwise(F.array(tidy))
+
 
+def claimed(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> DataFrame:
+    """case_id, field_name, claim, made (bits of the sources that make it), n_rows, n_eligible, first.
 
-def claims(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> DataFrame:
-    """One row per (case, field, claim) with ``votes``: for each source 2 claims it, 1 speaks against it, 0 is silent."""
-    tidy = claim_text(F.col("value"))
-    parts = F.when(F.col("field_name").isin(*multi_valued), F.array_distinct(F.split(tidy, r"\s*\|\s*"))).otherwise(F.array(tidy))
+    Ineligible rows have a null claim.  ``first`` is the first eligible row of
+    the claim in the order of trust: trust, c, cand_id, value.  A row with
+    several claims is counted at its first one.
+    """
     bit = F.lit(0)
     for i, s in enumerate(SOURCES):
         bit = F.when(F.col("source") == s, F.lit(1 << i)).otherwise(bit)
-    said = rows.where("eligible").select("case_id", "field_name", bit.alias("bit"), F.explode(parts).alias("claim"))
-    made = said.groupBy("case_id", "field_name", "claim").agg(F.bit_or("bit").alias("made"))
-    spoke = said.groupBy("case_id", "field_name").agg(F.bit_or("bit").alias("spoke"))
-    keys = [made["case_id"].eqNullSafe(spoke["case_id"]), made["field_name"].eqNullSafe(spoke["field_name"])]
-    both = made.join(spoke, keys).select(made["case_id"], made["field_name"], "claim", "made", "spoke")
-    return both.withColumn("pattern", F.col("spoke") * F.lit(1 << len(SOURCES)) + F.col("made"))
+    parts = F.when(F.col("eligible"), _claims_of(F.col("field_name"), F.col("value"), multi_valued)).otherwise(F.array(F.lit(None).cast("string")))
+    order = F.when(F.col("eligible"), F.struct(trust_of(F.col("source")).alias("trust"), F.coalesce(-F.col("confidence"), F.lit(1.0)).alias("c"), "cand_id", "value"))
+    said = rows.select("case_id", "field_name", F.when(F.col("eligible"), bit).alias("bit"), order.alias("order"), F.posexplode(parts).alias("at", "claim"))
+    head = F.col("at") == 0
+    return said.groupBy("case_id", "field_name", "claim").agg(
+        F.bit_or("bit").alias("made"), F.count_if(head).alias("n_rows"), F.count_if(head & F.col("order").isNotNull()).alias("n_eligible"), F.min("order").alias("first")
+    )
+
+
+def grouped(claims: DataFrame) -> DataFrame:
+    """case_id, field_name, spoke, cand_id, value, n_rows, n_eligible, n_claims of the groups with an eligible row."""
+    out = claims.groupBy("case_id", "field_name").agg(
+        F.bit_or("made").alias("spoke"), F.min("first").alias("first"), F.sum("n_rows").alias("n_rows"), F.sum("n_eligible").alias("n_eligible"), F.count("claim").alias("n_claims")
+    )
+    return out.where("n_eligible >= 1").select("case_id", "field_name", "spoke", F.col("first.cand_id").alias("cand_id"), F.col("first.value").alias("value"), "n_rows", "n_eligible", "n_claims")
+
+
+def patterns_of(claims: DataFrame, groups: DataFrame, judged: DataFrame) -> DataFrame:
+    """field_name, pattern, n: the votes of all claims and of the values of the field's domain that a group leaves unnamed."""
+    seen = judged.groupBy("field_name", "pattern").agg(F.count(F.lit(1)).alias("n"))
+    domain = claims.where(F.col("claim").isNotNull()).groupBy("field_name").agg(F.approx_count_distinct("claim", 0.02).alias("size"))
+    spoken = groups.groupBy("field_name", "spoke").agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n_claims").alias("n_claims"))
+    unnamed = F.col("size") * F.col("n_groups") - F.col("n_claims")
+    hidden = _match(spoken, domain, ["field_name"]).select("field_name", (F.col("spoke") * F.lit(1 << len(SOURCES))).alias("pattern"), unnamed.alias("n")).where("n > 0")
+    return seen.unionByName(hidden).groupBy("field_name", "pattern").agg(F.sum("n").alias("n"))
 
 
 def _votes(pattern: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,18 +162,18 @@ def _sums(counts: pd.DataFrame, model: dict) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["key", "a", "b", "c", "d"])
 
 
-def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_ROWS, prior_weight: tuple[float, float] = PRIOR_WEIGHT) -> dict:
+def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_ROWS, pseudo: float = PSEUDO) -> dict:
     """The model after EM over ``patterns`` (field_name, pattern, n).
 
-    A claim that nobody makes is never a row, so false claims left unnamed are
-    under-counted and plain likelihood would drive every specificity down.  As
-    usual for such models, both rates have Beta priors whose weight grows with
-    the source's votes: ``prior_weight`` times the votes, at the rates of
-    ``BELIEF``.  A source that is never heard keeps those rates.
+    Both rates have Beta priors worth ``pseudo`` votes at the rates of
+    ``BELIEF``; a source that is never heard keeps those rates.
     """
     model = {"sensitivity": np.full(len(SOURCES), BELIEF[0]), "specificity": np.full(len(SOURCES), BELIEF[1]), "prior": {}}
-    listed = small_rows(patterns.select("field_name", "pattern", "n"), pattern_rows)
+    patterns = patterns.select("field_name", F.col("pattern").cast("long").alias("pattern"), F.col("n").cast("double").alias("n"))
+    listed = small_rows(patterns, pattern_rows)
     local = pd.DataFrame([tuple(r) for r in listed], columns=["field_name", "pattern", "n"]) if listed is not None else None
+    if local is None:
+        patterns = cut(patterns)  # each round reads it
     for _ in range(rounds):
         if local is not None:
             sums = _sums(local, model)
@@ -162,53 +190,64 @@ def fit(patterns: DataFrame, rounds: int = ROUNDS, pattern_rows: int = PATTERN_R
         rates = []
         for source in SOURCES:
             hits, true_votes, kept_silent, false_votes = by.get(f"source:{source}", (0, 0, 0, 0))
-            pseudo = 1 + (true_votes + false_votes) * np.array(prior_weight)
-            rates.append(((hits + pseudo[0] * BELIEF[0]) / (true_votes + pseudo[0]), (kept_silent + pseudo[1] * BELIEF[1]) / (false_votes + pseudo[1])))
-        rates = np.array(rates)
+            rates.append(((hits + pseudo * BELIEF[0]) / (true_votes + pseudo), (kept_silent + pseudo * BELIEF[1]) / (false_votes + pseudo)))
+        rates = np.clip(np.array(rates), 1e-7, 1 - 1e-7)
         prior = {k[6:]: (a + 1) / (b + 2) for k, (a, b, _, _) in by.items() if k.startswith("field:")}
         moved = max(np.abs(rates[:, 0] - model["sensitivity"]).max(), np.abs(rates[:, 1] - model["specificity"]).max())
-        model = {"sensitivity": np.clip(rates[:, 0], 1e-4, 1 - 1e-4), "specificity": np.clip(rates[:, 1], 1e-4, 1 - 1e-4), "prior": prior}
+        model = {"sensitivity": rates[:, 0], "specificity": rates[:, 1], "prior": prior}
         if moved < TOLERANCE:
             break
     return model
 
 
-def judged_claims(rows: DataFrame) -> tuple[DataFrame, dict]:
-    """(claims with ``probability``, fitted model)."""
-    made = claims(rows)
-    model = fit(made.groupBy("field_name", "pattern").agg(F.count(F.lit(1)).alias("n")))
+def probabilities(patterns: DataFrame, model: dict) -> DataFrame:
+    """field_name, pattern, probability of every pattern; as few rows as there are patterns."""
 
-    @F.pandas_udf("double")
-    def probability(pattern: pd.Series, field: pd.Series) -> pd.Series:
-        prior = field.where(field.notna(), "").map(model["prior"]).fillna(0.5).to_numpy(float)
-        return pd.Series(posterior(pattern.to_numpy(np.int64), prior, model["sensitivity"], model["specificity"]))
+    def judge(batches):
+        for batch in batches:
+            prior = batch["field_name"].where(batch["field_name"].notna(), "").map(model["prior"]).fillna(0.5).to_numpy(float)
+            yield batch.assign(probability=posterior(batch["pattern"].to_numpy(np.int64), prior, model["sensitivity"], model["specificity"]))
 
-    return made.withColumn("probability", probability("pattern", "field_name")), model
+    return patterns.select("field_name", F.col("pattern").cast("long").alias("pattern")).mapInPandas(judge, "field_name string, pattern long, probability double")
 
 
-def fuse(evidence: DataFrame) -> DataFrame:
-    """The surviving record of each group, field by field.
+def judged_claims(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> tuple[DataFrame, dict]:
+    """(claims with their group's survivor and ``probability``, fitted model)."""
+    claims = cut(claimed(rows, multi_valued))
+    groups = grouped(claims)
+    made = _match(claims.where(F.col("claim").isNotNull()).select("case_id", "field_name", "claim", "made"), groups, ["case_id", "field_name"])
+    made = cut(made.withColumn("pattern", (F.col("spoke") * F.lit(1 << len(SOURCES)) + F.col("made")).cast("long")))
+    patterns = cut(patterns_of(claims, groups, made))
+    model = fit(patterns)
+    listed = maybe_broadcast(cut(probabilities(patterns, model)))
+    return _match(made, listed, ["field_name", "pattern"]), model
+
+
+def fuse(evidence: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> DataFrame:
+    """The surviving record of each group of two rows or more, field by field.
 
     case_id, field_name, cand_id (the survivor), value, probability (of the
     survivor's least likely claim), kept (for multi-valued fields every value
-    judged true, else the likeliest value), n_rows, n_eligible.
+    judged true, else the likeliest value), kept_probability (of the least
+    likely value kept), n_rows, n_eligible.
     """
-    rows = prepared(evidence)
-    multi = F.col("field_name").isin(*MULTI_VALUED)
-    chosen = survivors(rows).join(rows.select("cand_id", "value"), "cand_id")
-    judged, _ = judged_claims(rows)
+    judged, _ = judged_claims(prepared(evidence), multi_valued)
+    several, multi = judged.where("n_rows >= 2"), F.col("field_name").isin(*multi_valued)
+    own = F.array_contains(_claims_of(F.col("field_name"), F.col("value"), multi_valued), F.col("claim"))
+    held = multi & (F.col("probability") >= 0.5)
     # only the true values of multi-valued fields are gathered; a single-valued field keeps its likeliest value
-    said = judged.groupBy("case_id", "field_name").agg(
-        F.array_sort(F.collect_list(F.when(multi & (F.col("probability") >= 0.5), F.col("claim")))).alias("true_values"),
-        F.max_by("claim", F.struct("probability", "claim")).alias("likeliest"),
+    said = several.groupBy("case_id", "field_name").agg(
+        *(F.first(c).alias(c) for c in ("cand_id", "value", "n_rows", "n_eligible")),  # one value in the whole group
+        F.min(F.when(own, F.col("probability"))).alias("probability"),
+        F.array_sort(F.collect_list(F.when(held, F.col("claim")))).alias("true_values"),
+        F.min(F.when(held, F.col("probability"))).alias("least"),
+        F.max(F.struct("probability", "claim")).alias("likeliest"),
+    )
+    many = multi & (F.size("true_values") > 0)
+    return said.select(
+        "case_id", "field_name", "cand_id", "value", "probability", F.when(many, F.col("true_values")).otherwise(F.array("likeliest.claim")).alias("kept"),
+        F.when(many, F.col("least")).otherwise(F.col("likeliest.probability")).alias("kept_probability"), "n_rows", "n_eligible",
     )
-    own = F.explode(F.when(multi, F.array_distinct(F.split(claim_text(F.col("value")), r"\s*\|\s*"))).otherwise(F.array(claim_text(F.col("value")))))
-    claimed = chosen.select("cand_id", "case_id", "field_name", own.alias("claim"))
-    sure = _match(claimed, judged.select("case_id", "field_name", "claim", "probability"), ["case_id", "field_name", "claim"])
-    least = sure.groupBy("cand_id").agg(F.min("probability").alias("probability"))
-    joined = _match(chosen, said, ["case_id", "field_name"]).join(least, "cand_id", "left")
-    kept = F.when(multi & (F.size("true_values") > 0), F.col("true_values")).otherwise(F.array("likeliest"))
-    return joined.select("case_id", "field_name", "cand_id", "value", "probability", kept.alias("kept"), "n_rows", "n_eligible")
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
