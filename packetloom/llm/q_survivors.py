@@ -22,7 +22,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values that the model keeps for each group, all true ones for risk flags, beside the survivor's own."""
-    return op.fuse(_evidence(spark, sf_dir)).select(
+    rows = _evidence(spark, sf_dir)
+    return op.fuse(rows).join(rows.select("cand_id", "value"), "cand_id").select(
         "case_id", "field_name", "cand_id", "value", F.array_join("kept", "|").alias("kept"), F.round("probability", 6).alias("probability"), F.round("kept_probability", 6).alias("kept_probability")
     )
 
@@ -38,7 +39,8 @@ def p4_against_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per field: survivors whose value equals the latest resolved value, and the mean probability of either kind."""
     resolved = table(spark, sf_dir, "resolved_fields")
     latest = resolved.groupBy("case_id", "field_name").agg(F.max_by("value", F.struct("pass_no", "resolved_at", "resolved_id")).alias("resolved"))
-    fused = op.fuse(_evidence(spark, sf_dir)).join(latest, ["case_id", "field_name"], "left")
+    rows = _evidence(spark, sf_dir)
+    fused = op.fuse(rows).join(rows.select("cand_id", "value"), "cand_id").join(latest, ["case_id", "field_name"], "left")
     agree = F.coalesce(F.lower(F.trim("resolved")) == F.lower(F.trim("value")), F.lit(False))
     return fused.groupBy("field_name").agg(
         F.count(F.lit(1)).alias("n_groups"),

@@ -73,6 +73,18 @@ def confidence_of(column: Column) -> Column:
     return F.round(F.when(column > 1, column / 100).otherwise(column), 3)
 
 
+def order_of(source: Column, confidence: Column, cand_id: Column) -> Column:
+    """The order of trust as one decimal number, so that its minimum is kept in a hash aggregate: trust, confidence (null last), id."""
+    place = F.greatest(F.lit(0.0), F.least(F.lit(999_998.0), 500_000 - F.round(confidence * 1000))).cast("long")
+    sure = F.coalesce(F.when(~F.isnan(confidence), place), F.lit(999_999))  # no confidence comes last
+    head = (trust_of(source) * F.lit(10**6) + sure).cast("decimal(8,0)") * F.lit(str(10**20)).cast("decimal(21,0)")
+    return (head + (cand_id.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)"))).cast("decimal(30,0)")
+
+
+def id_of(order: Column) -> Column:
+    return ((order % F.lit(str(10**20)).cast("decimal(21,0)")) - F.lit(str(2**63)).cast("decimal(20,0)")).cast("long")
+
+
 def has_value(value: Column) -> Column:
     tidy = F.regexp_replace(F.lower(value), r"^\s+|\s+$", "")
     return value.isNotNull() & ~tidy.rlike(NO_VALUE)
@@ -101,15 +113,15 @@ def _claims_of(field: Column, value: Column, multi_valued: tuple[str, ...]) -> C
 def claimed(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> DataFrame:
     """case_id, field_name, claim, made (bits of the sources that make it), n_rows, n_eligible, first.
 
-    Ineligible rows have a null claim.  ``first`` is the first eligible row of
-    the claim in the order of trust: trust, c, cand_id, value.  A row with
-    several claims is counted at its first one.
+    Ineligible rows have a null claim.  ``first`` is the place of the claim's
+    first eligible row in the order of trust.  A row with several claims is
+    counted at its first one.
     """
     bit = F.lit(0)
     for i, s in enumerate(SOURCES):
         bit = F.when(F.col("source") == s, F.lit(1 << i)).otherwise(bit)
     parts = F.when(F.col("eligible"), _claims_of(F.col("field_name"), F.col("value"), multi_valued)).otherwise(F.array(F.lit(None).cast("string")))
-    order = F.when(F.col("eligible"), F.struct(trust_of(F.col("source")).alias("trust"), F.coalesce(-F.col("confidence"), F.lit(1.0)).alias("c"), "cand_id", "value"))
+    order = F.when(F.col("eligible"), order_of(F.col("source"), F.col("confidence"), F.col("cand_id")))
     said = rows.select("case_id", "field_name", F.when(F.col("eligible"), bit).alias("bit"), order.alias("order"), F.posexplode(parts).alias("at", "claim"))
     head = F.col("at") == 0
     return said.groupBy("case_id", "field_name", "claim").agg(
@@ -118,11 +130,11 @@ def claimed(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> Da
 
 
 def grouped(claims: DataFrame) -> DataFrame:
-    """case_id, field_name, spoke, cand_id, value, n_rows, n_eligible, n_claims of the groups with an eligible row."""
+    """case_id, field_name, spoke, leader (place of the survivor), n_rows, n_eligible, n_claims of the groups with an eligible row."""
     out = claims.groupBy("case_id", "field_name").agg(
-        F.bit_or("made").alias("spoke"), F.min("first").alias("first"), F.sum("n_rows").alias("n_rows"), F.sum("n_eligible").alias("n_eligible"), F.count("claim").alias("n_claims")
+        F.bit_or("made").alias("spoke"), F.min("first").alias("leader"), F.sum("n_rows").alias("n_rows"), F.sum("n_eligible").alias("n_eligible"), F.count("claim").alias("n_claims")
     )
-    return out.where("n_eligible >= 1").select("case_id", "field_name", "spoke", F.col("first.cand_id").alias("cand_id"), F.col("first.value").alias("value"), "n_rows", "n_eligible", "n_claims")
+    return out.where("n_eligible >= 1")
 
 
 def patterns_of(claims: DataFrame, groups: DataFrame, judged: DataFrame) -> DataFrame:
@@ -215,7 +227,9 @@ def judged_claims(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED)
     """(claims with their group's survivor and ``probability``, fitted model)."""
     claims = cut(claimed(rows, multi_valued))
     groups = grouped(claims)
-    made = _match(claims.where(F.col("claim").isNotNull()).select("case_id", "field_name", "claim", "made"), groups, ["case_id", "field_name"])
+    made = _match(claims.where(F.col("claim").isNotNull()).select("case_id", "field_name", "claim", "made", "first"), groups, ["case_id", "field_name"])
+    # the survivor's own claims are those that nobody makes before it
+    made = made.withColumn("own", F.col("first") == F.col("leader")).withColumn("cand_id", id_of(F.col("leader"))).drop("first", "leader")
     made = cut(made.withColumn("pattern", (F.col("spoke") * F.lit(1 << len(SOURCES)) + F.col("made")).cast("long")))
     patterns = cut(patterns_of(claims, groups, made))
     model = fit(patterns)
@@ -226,26 +240,25 @@ def judged_claims(rows: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED)
 def fuse(evidence: DataFrame, multi_valued: tuple[str, ...] = MULTI_VALUED) -> DataFrame:
     """The surviving record of each group of two rows or more, field by field.
 
-    case_id, field_name, cand_id (the survivor), value, probability (of the
+    case_id, field_name, cand_id (the survivor), probability (of the
     survivor's least likely claim), kept (for multi-valued fields every value
     judged true, else the likeliest value), kept_probability (of the least
     likely value kept), n_rows, n_eligible.
     """
     judged, _ = judged_claims(prepared(evidence), multi_valued)
     several, multi = judged.where("n_rows >= 2"), F.col("field_name").isin(*multi_valued)
-    own = F.array_contains(_claims_of(F.col("field_name"), F.col("value"), multi_valued), F.col("claim"))
     held = multi & (F.col("probability") >= 0.5)
     # only the true values of multi-valued fields are gathered; a single-valued field keeps its likeliest value
     said = several.groupBy("case_id", "field_name").agg(
-        *(F.first(c).alias(c) for c in ("cand_id", "value", "n_rows", "n_eligible")),  # one value in the whole group
-        F.min(F.when(own, F.col("probability"))).alias("probability"),
+        *(F.max(c).alias(c) for c in ("cand_id", "n_rows", "n_eligible")),  # one value in the whole group
+        F.min(F.when(F.col("own"), F.col("probability"))).alias("probability"),
         F.array_sort(F.collect_list(F.when(held, F.col("claim")))).alias("true_values"),
         F.min(F.when(held, F.col("probability"))).alias("least"),
         F.max(F.struct("probability", "claim")).alias("likeliest"),
     )
     many = multi & (F.size("true_values") > 0)
     return said.select(
-        "case_id", "field_name", "cand_id", "value", "probability", F.when(many, F.col("true_values")).otherwise(F.array("likeliest.claim")).alias("kept"),
+        "case_id", "field_name", "cand_id", "probability", F.when(many, F.col("true_values")).otherwise(F.array("likeliest.claim")).alias("kept"),
         F.when(many, F.col("least")).otherwise(F.col("likeliest.probability")).alias("kept_probability"), "n_rows", "n_eligible",
     )
 

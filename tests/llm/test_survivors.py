@@ -23,6 +23,12 @@ def test_order_of_trust(spark):
     assert survivor(spark, row(1, "A", superseded=None), row(2, "B", "registry_extract")) == [1]
 
 
+def test_order_as_a_number(spark):
+    for ids in ((-(2**63), 2**63 - 1), (-5, 4), (0, 7)):
+        assert survivor(spark, row(ids[1], "A"), row(ids[0], "B")) == [ids[0]]
+    assert survivor(spark, row(1, "A", conf=float("nan")), row(2, "B", conf=0.0)) == [2]
+
+
 def test_ineligible_and_single_groups(spark):
     nothing = [row(i, v) for i, v in enumerate([None, " ", "Unknown", "[n/a]", "(ILLEGIBLE)", "-", "?"])]
     assert survivor(spark, *nothing) == []
@@ -70,7 +76,8 @@ def test_rates_are_inferred_from_rows(spark):
     right = sum(set(r["kept"]) == truth[r["case_id"]] for r in fused)
     assert right > 0.85 * len(fused)
     # trust alone is worse: the survivor's own value is one source's word
-    assert right > sum(set(r["value"].split("|")) == truth[r["case_id"]] for r in fused) + 0.1 * len(fused)
+    values = {r[0]: r[3] for r in rows}
+    assert right > sum(set(values[r["cand_id"]].split("|")) == truth[r["case_id"]] for r in fused) + 0.1 * len(fused)
 
 
 def test_kept_values_equal_a_plain_restatement(spark):
