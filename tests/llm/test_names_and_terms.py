@@ -132,28 +132,47 @@ def test_overlaps(spark, rows):
     assert overlap.overlaps(held.limit(0), train).count() == overlap.overlaps(held, train.limit(0)).count() == 0
 
 
-def test_segment_join_equals_brute_force(spark):
+@pytest.mark.parametrize("heavy", [20, 100_000])
+def test_segment_join_equals_brute_force(spark, heavy):
     rng = random.Random(5)
     base = ["".join(rng.choice("ab") for _ in range(12)) for _ in range(30)]
 
     def side(start):
         out = []
-        for i in range(120):
-            t = list(rng.choice(base))
+        for i in range(160):
+            # a third are copies of one text, so that its pieces are hot
+            t = list(base[0] if i % 3 == 0 else rng.choice(base))
             for _ in range(rng.randint(0, 3)):
                 k = rng.randrange(12)
                 if rng.random() < 0.5:
                     t[k] = rng.choice("abc")
                 else:
                     t = t[:k] + t[k + 1 :] + [rng.choice("abc")]
-            out.append((start + i, "".join(t), rng.randint(0, 30)))
-        return spark.createDataFrame(out, "id long, text string, n int").select("id", "text", F.date_add(F.lit("2026-01-01").cast("date"), F.col("n")).alias("day")).cache()
+            out.append((start + i, "".join(t), None if rng.random() < 0.1 else rng.randint(0, 30)))
+        df = spark.createDataFrame(out, "id long, text string, n int").select("id", "text", F.date_add(F.lit("2026-01-01").cast("date"), F.col("n")).alias("day"))
+        missing = F.when(F.col("day").isNull(), overlap.DAY_BIT).otherwise(0)
+        return df.withColumn("missing", missing).cache()
 
     e, t = side(0), side(1000)
-    k, days = 2, 4
-    pairs = overlap.segment_pairs(e, t, 12, k, days)
-    near = (F.levenshtein("te", "tt") <= k) & (F.abs(F.datediff("de", "dt")) <= days)
-    a, b = e.toDF("e", "te", "de"), t.toDF("t", "tt", "dt")
-    got = {(r["e"], r["t"]) for r in pairs.join(a, "e").join(b, "t").where(near).collect()}
-    want = {(r["e"], r["t"]) for r in a.join(b, near).collect()}
+    k, days = 4, 4
+    masks = [0, overlap.DAY_BIT]
+
+    def spread(df):
+        return df.select("*", F.explode(F.array_distinct(F.array(*(F.col("missing").bitwiseOR(F.lit(m)) for m in masks)))).alias("mask"))
+
+    got = {(r["e"], r["t"], r["edits"]) for r in overlap.segment_pairs(spread(e), spread(t), 12, k, days, heavy).collect()}
+    a, b = e.toDF("e", "te", "de", "me"), t.toDF("t", "tt", "dt", "mt")
+    blind = F.col("de").isNull() | F.col("dt").isNull()
+    edits = F.levenshtein("te", "tt") + F.when(blind, overlap.MISSING).otherwise(0)
+    near = (edits <= k) & (blind | (F.abs(F.datediff("de", "dt")) <= days))
+    want = {(r["e"], r["t"], r["edits"]) for r in a.join(b, near).select("e", "t", edits.alias("edits")).collect()}
     assert got == want and want
+
+
+def test_overlaps_of_whole_values(spark, rows):
+    """Values decide by all their letters, a missing field by those left, a missing day by the rest."""
+    train = spark.createDataFrame([label(1, purpose="kiln inspection"), label(2, home="Low Meridian-7b"), label(3, day="not a day"), label(4, purpose="x" * 5000)], LABEL)
+    held = spark.createDataFrame([label(11, purpose="kiln inspectors of the harbour"), label(12), label(13, purpose="x" * 4999 + "y"), label(14, purpose="x" * 5000), label(15, sponsor=None, visa=None, purpose=None)], LABEL)
+    got = {(e, t) for e, t, _ in rows(overlap.overlaps(held, train))}
+    # home worlds two edits apart are near, 3 pays two edits for its day, 15 lacks too much
+    assert got == {(12, 1), (12, 2), (12, 3), (14, 4)}
