@@ -16,16 +16,18 @@ from packetloom.session import cut, small_rows
 HEAVY, HOT_KEYS = 20_000, 100_000
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], heavy: int = HEAVY) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], heavy: int = HEAVY, counts: tuple[DataFrame | None, DataFrame | None] = (None, None)) -> DataFrame:
     """Inner join on ``keys`` (null keys meet nothing); columns of both sides, the keys once.
 
     The hot keys are found by an aggregate that combines before its shuffle;
     there is at most one to ``heavy`` rows, and they are broadcast only when
-    ``HOT_KEYS`` or fewer.
+    ``HOT_KEYS`` or fewer.  ``counts`` (keys, n) saves that where the sides'
+    rows a key are known; counts that are too high cost nothing but parts.
     """
     sizes = None
-    for side, n in ((left, "__nl"), (right, "__nr")):
-        hot = side.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > heavy)
+    for side, known, n in ((left, counts[0], "__nl"), (right, counts[1], "__nr")):
+        sized = side.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) if known is None else known.select(*keys, F.col("n").alias(n))
+        hot = sized.where(F.col(n) > heavy)
         sizes = hot if sizes is None else sizes.join(hot, keys, "full")
     sizes = cut(sizes)
     listed = small_rows(sizes.select(F.lit(1)), HOT_KEYS)
