@@ -125,13 +125,16 @@ def overlaps(evaluation: DataFrame, training: DataFrame, k: int = EDITS, days: i
     sides = []
     for records in (evaluation, training):
         rows = cut(visits(records).withColumn("id", F.xxhash64("name", "slots", "day")))
-        sides.append((rows.select("record_id", "id"), rows.groupBy("id", "name", "slots", "day", "missing").agg(F.count(F.lit(1)).alias("copies"))))
+        sides.append((rows.select("record_id", "id"), cut(rows.groupBy("id", "name", "slots", "day", "missing").agg(F.count(F.lit(1)).alias("copies")))))
     (eval_rows, eval_visits), (train_rows, train_visits) = sides
     eval_masks, train_masks = _masks(eval_visits, k), _masks(train_visits, k)
     close = segment_pairs(under_masks(eval_visits, train_masks, k), under_masks(train_visits, eval_masks, k), LENGTH, k, days, heavy)
     named = close.join(eval_visits.select(F.col("id").alias("e"), F.col("name").alias("ne")), "e").join(train_visits.select(F.col("id").alias("t"), F.col("name").alias("nt")), "t")
     words = named.withColumn("wa", variants.name_words("ne")).withColumn("wb", variants.name_words("nt"))
-    same = words.where((F.col("ne") == F.col("nt")) | (variants.similarity("wa", "wb") >= variants.SIMILARITY)).select("e", "t", "edits")
-    # equal records of a training and of an evaluation group are as many pairs as the report asks for
-    out = salted_join(same, eval_rows.select(F.col("record_id").alias("eval_id"), F.col("id").alias("e")), ["e"], heavy)
-    return salted_join(out, train_rows.select(F.col("record_id").alias("train_id"), F.col("id").alias("t")), ["t"], heavy).select("eval_id", "train_id", "edits")
+    same = cut(words.where((F.col("ne") == F.col("nt")) | (variants.similarity("wa", "wb") >= variants.SIMILARITY)).select("e", "t", "edits"))
+    # every pair of copies is a row of the result; a text of very many copies is split
+    copies = eval_visits.select(F.col("id").alias("e"), F.col("copies").alias("n"))
+    out = salted_join(same, eval_rows.select(F.col("record_id").alias("eval_id"), F.col("id").alias("e")), ["e"], heavy, (None, copies))
+    pairs = same.join(copies, "e").groupBy("t").agg(F.sum("n").alias("n"))
+    copies = train_visits.select(F.col("id").alias("t"), F.col("copies").alias("n"))
+    return salted_join(out, train_rows.select(F.col("record_id").alias("train_id"), F.col("id").alias("t")), ["t"], heavy, (pairs, copies)).select("eval_id", "train_id", "edits")
