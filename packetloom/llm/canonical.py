@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import product
 
 import pandas as pd
@@ -125,6 +126,15 @@ def radius(key: str) -> int:
     return (0, 0, 0, 0, 0, 1, 2, 2, 2, 2)[len(key)] if len(key) < 10 else 3
 
 
+@lru_cache(100_000)
+def letters_of(key: str) -> int:
+    """The set of a key's characters as bits; folding them together only lowers the bound made of it."""
+    mask = 0
+    for c in key:
+        mask |= 1 << (ord(c) & 127)
+    return mask
+
+
 class BKTree:
     """Burkhard-Keller tree: a child's subtree lies at one exact distance from its parent."""
 
@@ -148,10 +158,18 @@ class BKTree:
             node = child
 
     def within(self, key: str, limit: int) -> list[tuple[int, str, set]]:
-        """Every (distance, key, terms) at ``limit`` or less."""
-        found, open_nodes = [], [self.root] if self.root else []
+        """Every (distance, key, terms) at ``limit`` or less.
+
+        A node that lies too far by its length or letters for itself and, by the
+        triangle inequality, for all its children is left without its distance.
+        """
+        found, open_nodes, mask, size = [], [self.root] if self.root else [], letters_of(key), len(key)
         while open_nodes:
             at, terms, children = open_nodes.pop()
+            other = letters_of(at)
+            least = max(abs(size - len(at)), (mask & ~other).bit_count(), (other & ~mask).bit_count())
+            if least - limit > (max(children) if children else 0):
+                continue
             d = damerau_levenshtein(key, at)
             if d <= limit:
                 found.append((d, at, terms))
@@ -159,31 +177,41 @@ class BKTree:
         return found
 
 
+#: Forms that an entry is found by at distance 0, in the order of their rank.
+CODE, SHORT, EXACT, NEAR = range(4)
+
+
 class TermIndex:
-    """One field's reference entries: two trees, codes, and the abbreviated forms of names."""
+    """One field's reference entries as BK-trees.
+
+    Two trees hold the plain and the glyph-folded keys; a third holds the
+    derived forms of an entry (its code, its abbreviations, its key), each
+    marked by its kind, which are met at distance 0 only.
+    """
 
     def __init__(self) -> None:
-        self.raw, self.fold = BKTree(), BKTree()
-        self.exact: dict[str, set] = {}
-        self.codes: dict[str, set] = {}
-        self.short: dict[str, set] = {}
+        self.raw, self.fold, self.forms = BKTree(), BKTree(), BKTree()
+
+    def form(self, kind: int, text: str) -> set:
+        """The terms that have the form; the tree's search with a radius of 0."""
+        return next((terms for _, _, terms in self.forms.within(f"{kind}{text}", 0)), set())
 
     def add(self, term: int, name: str) -> None:
         text = _plain(name)
         code = _code(text.replace("_", " "))
         if code and len(code) < 8 and not re.search(r"[a-z]{5}", code):
-            self.codes.setdefault(code, set()).add(term)
+            self.forms.add(f"{CODE}{code}", term)
         key = compact(text)
         if not key:
             return
-        self.exact.setdefault(key, set()).add(term)
+        self.forms.add(f"{EXACT}{key}", term)
         self.raw.add(key, term)
         self.fold.add(folded(key), term)
         words = [w for w in re.split(r"[\s_]+", text) if w not in SMALL_WORDS]
         cuts = [[compact(w), *(w[:n] + "." for n in (2, 3, 4, 5) if n < len(w))] for w in words[:4]]
         for form in product(*cuts):
             if any(p.endswith(".") for p in form):
-                self.short.setdefault(" ".join(form), set()).add(term)
+                self.forms.add(f"{SHORT}{' '.join(form)}", term)
 
     def search(self, value: str) -> list[tuple[int, int, int, int]]:
         """(kind, distance, bag distance, term) of the nearest entries within the radius.
@@ -193,16 +221,16 @@ class TermIndex:
         """
         text = bare(value)
         code = _code(text)
-        if code in self.codes:
-            return [(0, 0, 0, t) for t in self.codes[code]]
+        if code and (terms := self.form(CODE, code)):
+            return [(CODE, 0, 0, t) for t in terms]
         words = [w for w in re.split(r"[\s_]+", text) if w not in SMALL_WORDS]
         if any(w.endswith(".") for w in words):
             form = " ".join(w if w.endswith(".") else compact(w) for w in words)
-            if form in self.short:
-                return [(1, 0, 0, t) for t in self.short[form]]
+            if terms := self.form(SHORT, form):
+                return [(SHORT, 0, 0, t) for t in terms]
         key = compact(text)
-        if key in self.exact:
-            return [(2, 0, 0, t) for t in self.exact[key]]
+        if terms := self.form(EXACT, key):
+            return [(EXACT, 0, 0, t) for t in terms]
         best: dict[int, tuple[int, int]] = {}
         for tree, k in ((self.raw, key), (self.fold, folded(key))):
             for d, at, terms in tree.within(k, radius(k + "xx")):
@@ -214,7 +242,7 @@ class TermIndex:
         if not best:
             return []
         top = min(best.values())
-        return [(3, *score, t) for t, score in best.items() if score == top]
+        return [(NEAR, *score, t) for t, score in best.items() if score == top]
 
 
 def _build(terms: Iterable[tuple[str, int, str]]) -> dict[str, TermIndex]:
@@ -225,6 +253,12 @@ def _build(terms: Iterable[tuple[str, int, str]]) -> dict[str, TermIndex]:
     return out
 
 
+@lru_cache(2)
+def _built(terms: tuple[tuple[str, int, str], ...]) -> dict[str, TermIndex]:
+    """The trees of a whole list, kept by the worker for its next tasks."""
+    return _build(terms)
+
+
 _MATCH = "field_name string, value string, kind int, distance int, bag int, term_id int"
 
 
@@ -251,14 +285,12 @@ def map_to_terms(values: DataFrame, terms: DataFrame, tree_entries: int = TREE_E
     spark, names = values.sparkSession, _names(terms)
     listed = small_rows(names, tree_entries)
     if listed is not None:
-        shared = spark.sparkContext.broadcast([tuple(r) for r in listed])
-        cache: dict = {}
+        shared = spark.sparkContext.broadcast(tuple(sorted(tuple(r) for r in listed)))
 
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            if "index" not in cache:
-                cache["index"] = _build(shared.value)
+            index = _built(shared.value)
             for batch in batches:
-                yield _winners(cache["index"], batch)
+                yield _winners(index, batch)
 
         # a given number of partitions, or adaptive execution would put all distinct values into one task
         found = values.repartition(spark.sparkContext.defaultParallelism, "field_name", "value").mapInPandas(search, _MATCH)
