@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from packetloom.session import cut
+from packetloom.session import cut, maybe_broadcast, small_rows
 
-STEPS, SMALL, WINDOW_STEPS, MAX_COMBINATIONS = 256, 8, 1, 20_000
+STEPS, SMALL, WINDOW_STEPS, MAX_COMBINATIONS, MAX_KINDS = 256, 8, 1, 20_000, 10_000
+#: Items a hash bucket when ranks are counted.
+BUCKET_ROWS = 50_000
 Pattern = tuple[tuple[int, int], ...]  # ((size, how many), ...)
 
 
@@ -44,7 +46,11 @@ def planned_size(size: int, capacity: int) -> int:
 
 
 def combinations_filling(sizes: list[int], capacity: int, window: int, limit: int = MAX_COMBINATIONS) -> list[tuple[int, ...]]:
-    """Up to three sizes whose sum lies in [capacity - window, capacity]; closest fills first when there are too many."""
+    """Up to three sizes whose sum lies in [capacity - window, capacity], closest fills first.
+
+    The steps of the planned sizes bound their number; more than ``limit`` means
+    that the sizes are no planned ones.
+    """
     low, present = capacity - window, np.array(sorted(sizes))
     out = [(s,) for s in sizes if s >= low]
     for a, b in combinations_with_replacement(sorted(sizes), 2):
@@ -52,7 +58,9 @@ def combinations_filling(sizes: list[int], capacity: int, window: int, limit: in
             out.append((a, b))
         i, j = np.searchsorted(present, [max(b, low - a - b), capacity - a - b + 1])
         out += [(a, b, int(c)) for c in present[i:j]]
-    return sorted(out, key=lambda c: (capacity - sum(c), len(c), c))[:limit]
+    if len(out) > limit:
+        raise ValueError(f"{len(out)} combinations fill the window, more than {limit}")
+    return sorted(out, key=lambda c: (capacity - sum(c), len(c), c))
 
 
 def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
@@ -171,8 +179,11 @@ def plan_rows(plan: dict[Pattern, int]) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
-def ranked(items: DataFrame, keys: list[str], order: list[str], buckets: int = 256) -> DataFrame:
-    """``items`` with ``rank`` (from 0) within ``keys``: bucket offsets plus ranks inside hash buckets."""
+def ranked(items: DataFrame, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """``items`` with ``rank`` (from 0) within ``keys``: bucket offsets plus ranks inside hash buckets.
+
+    ``buckets`` should grow with the rows of the largest key.
+    """
     bucketed = items.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     sizes = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -187,12 +198,20 @@ def fill_containers(sized: DataFrame, capacities: DataFrame, max_capacity: int =
     ``capacities``: container_kind, capacity_tokens; a short list whose
     capacities are at most ``max_capacity``, which bounds the plan.
     """
-    kinds = {r["container_kind"]: int(r["capacity_tokens"]) for r in capacities.distinct().limit(1000).collect()}
+    listed = small_rows(capacities.select("container_kind", "capacity_tokens").distinct(), MAX_KINDS)
+    if listed is None:
+        raise ValueError(f"more than {MAX_KINDS} kinds of containers")
+    kinds = {r["container_kind"]: int(r["capacity_tokens"]) for r in listed}
+    if len(kinds) < len(listed):
+        raise ValueError("a kind of container has two capacities")
     if any(not 0 < c <= max_capacity for c in kinds.values()):
         raise ValueError("a capacity is not between 1 and max_capacity")
     spark = sized.sparkSession
-    listed = spark.createDataFrame(sorted(kinds.items()), "container_kind string, capacity long")
-    items = sized.where(F.col("n_tokens") > 0).select("doc_id", "n_tokens").crossJoin(F.broadcast(listed))  # a handful of kinds
+    if not kinds:
+        kinds = {"": 1}
+        sized = sized.limit(0)
+    each_kind = F.array(*(F.struct(F.lit(k).alias("container_kind"), F.lit(c).cast("long").alias("capacity")) for k, c in sorted(kinds.items())))
+    items = sized.where(F.col("n_tokens") > 0).select("doc_id", "n_tokens", F.inline(each_kind))  # every item goes into a container of each kind
     whole, rest = F.floor(F.col("n_tokens") / F.col("capacity")), F.col("n_tokens") % F.col("capacity")
     n_parts = whole + (rest > 0).cast("long")
     parts = items.select("container_kind", "capacity", "doc_id", rest.alias("__rest"), F.explode(F.sequence(F.lit(1).cast("long"), n_parts)).alias("part"), n_parts.alias("__parts"))
@@ -208,7 +227,8 @@ def fill_containers(sized: DataFrame, capacities: DataFrame, max_capacity: int =
     # slots of one size are ordered by rank: an equal key with a range is an as-of lookup in a sorted array
     plan = spark.createDataFrame(rows, "container_kind string, size long, first long, end long, container long, each long")
     runs = plan.groupBy("container_kind", "size").agg(F.array_sort(F.collect_list(F.struct("first", "end", "container", "each"))).alias("runs"))
-    placed = ranked(parts, ["container_kind", "size"], ["doc_id", "part"]).join(F.broadcast(runs), ["container_kind", "size"])
+    most = max((n for sizes in histogram.values() for n in sizes.values()), default=0)
+    placed = ranked(parts, ["container_kind", "size"], ["doc_id", "part"], max(16, -(-most // BUCKET_ROWS))).join(maybe_broadcast(runs), ["container_kind", "size"])
     run = F.element_at(F.filter("runs", lambda r: (r["first"] <= F.col("rank")) & (F.col("rank") < r["end"])), 1)
     placed = placed.withColumn("run", run)
     number = F.col("run.container") + F.floor((F.col("rank") - F.col("run.first")) / F.col("run.each"))

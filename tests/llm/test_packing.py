@@ -57,6 +57,20 @@ def test_every_text_in_a_container_of_each_kind(spark):
     assert containers.fill_containers(docs.limit(0), kinds).count() == 0
     with pytest.raises(ValueError):
         containers.fill_containers(docs, kinds.withColumn("capacity_tokens", F.lit(0)))
+    with pytest.raises(ValueError):
+        containers.fill_containers(docs, spark.range(containers.MAX_KINDS + 1).selectExpr("cast(id as string) container_kind", "5 capacity_tokens"))
+    assert containers.fill_containers(docs, kinds.limit(0)).count() == 0
+
+
+def test_every_kind_of_a_long_list_is_filled(spark):
+    docs = spark.createDataFrame([(1, 3), (2, 4)], "doc_id long, n_tokens long")
+    kinds = spark.range(1, 1202).selectExpr("concat('k', id) container_kind", "cast(10 as int) capacity_tokens")
+    assert containers.fill_containers(docs, kinds).groupBy("container_kind").agg(F.sum("n_tokens").alias("n")).where("n = 7").count() == 1201
+
+
+def test_too_many_combinations_raise():
+    with pytest.raises(ValueError):
+        containers.combinations_filling(list(range(1, 60)), 100, 90, limit=50)
 
 
 def test_ranks_are_gapless(spark):
