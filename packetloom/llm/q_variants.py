@@ -6,24 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetloom.llm import canonical, variants
+from packetloom.operators.skew import salted_join
 from packetloom.session import cut, table
 
 KEPT = ("species_code", "home_world")
 
 
 def case_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """case_id, words, species and world (terms) as the intake form and the predictions name them."""
+    """case_id, words, species and world (terms) as the intake form and the predictions name them.
+
+    Both tables are read once and folded to distinct values of a case.
+    """
     intake = F.regexp_replace(F.lower("evidence_type"), "[^a-z]", "") == "intakeform"
-    evidence = table(spark, sf_dir, "candidate_evidence").select("cand_id", "case_id", "field_name", "value", intake.alias("trusted"))
-    predictions = table(spark, sf_dir, "predictions").select("pred_id", "case_id", "applicant_name", *KEPT)
-    read = predictions.select("case_id", F.col("applicant_name").alias("name"), F.lit(True).alias("trusted"))
-    seen = evidence.where(F.col("field_name") == "applicant_name").select("case_id", F.col("value").alias("name"), "trusted")
-    forms = variants.best_forms(seen.unionByName(read), "case_id")
-    pairs = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in KEPT))
-    values = evidence.where(F.col("trusted") & F.col("field_name").isin(*KEPT)).select("case_id", "field_name", "value")
-    values = values.unionByName(predictions.select("case_id", F.inline(pairs))).where(F.col("value").rlike(r"\S"))
+    evidence = table(spark, sf_dir, "candidate_evidence").where(F.col("field_name").isin("applicant_name", *KEPT))
+    seen = evidence.select("case_id", "field_name", "value", F.coalesce(intake, F.lit(False)).alias("trusted"))
+    pairs = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in ("applicant_name", *KEPT)))
+    read = table(spark, sf_dir, "predictions").select("case_id", F.inline(pairs), F.lit(True).alias("trusted"))
+    rows = seen.unionByName(read).where(F.col("value").isNotNull())
+    folded = cut(rows.groupBy("case_id", "field_name", "value").agg(F.count(F.lit(1)).alias("n"), F.count_if("trusted").alias("t")))
+    forms = variants.best_forms(folded.where("field_name = 'applicant_name'").select("case_id", F.col("value").alias("name"), "n", "t"), "case_id")
+    values = folded.where(F.col("field_name").isin(*KEPT) & (F.col("t") > 0) & F.col("value").rlike(r"\S"))
     terms = canonical.with_terms(values, table(spark, sf_dir, "reference_terms")).where(F.col("term_id") > 0)
-    votes = terms.groupBy("case_id", "field_name", "term_id").agg(F.count(F.lit(1)).alias("n"))
+    votes = terms.groupBy("case_id", "field_name", "term_id").agg(F.sum("t").alias("n"))
     kept = votes.groupBy("case_id").agg(
         *(F.max_by("term_id", F.when(F.col("field_name") == f, F.struct("n", -F.col("term_id")))).alias(c) for f, c in zip(KEPT, ("species", "world"), strict=True))
     )
@@ -46,7 +50,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of cases filed by one applicant, smaller id first."""
     of = cut(applicants(spark, sf_dir))
     left, right = of.withColumnRenamed("case_id", "case_id_a"), of.withColumnRenamed("case_id", "case_id_b")
-    return left.join(right, "applicant").where(F.col("case_id_a") < F.col("case_id_b")).select("case_id_a", "case_id_b")
+    # every pair of an applicant's cases is a row of the result; an applicant of very many cases is split
+    sizes = of.groupBy("applicant").agg(F.count(F.lit(1)).alias("n"))
+    return salted_join(left, right, ["applicant"], counts=(sizes, sizes)).where(F.col("case_id_a") < F.col("case_id_b")).select("case_id_a", "case_id_b")
 
 
 def p3_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:

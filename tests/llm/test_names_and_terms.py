@@ -109,12 +109,45 @@ def test_links_and_stars(spark):
     assert variants.star_clusters(weights.limit(0), edges.limit(0)).count() == 0
 
 
-def test_star_rounds_on_a_path(spark):
-    n = 9
+def greedy_centres(n, weight, pairs):
+    beside = {i: set() for i in range(n)}
+    for a, b in pairs:
+        beside[a].add(b)
+        beside[b].add(a)
+    centres = set()
+    for i in sorted(range(n), key=lambda i: (-weight[i], -i)):
+        if not beside[i] & centres:
+            centres.add(i)
+    return centres
+
+
+@pytest.mark.parametrize(("n", "rest"), [(300, variants.REST_EDGES), (12, 0), (12, 6)])
+def test_star_rounds_on_a_path(spark, n, rest):
     nodes = spark.createDataFrame([(i, n - i) for i in range(n)], "id long, weight long")
     edges = spark.createDataFrame([(i, i + 1, 0.9) for i in range(n - 1)], "a long, b long, score double")
-    stars = {r["id"]: r["centre"] for r in variants.star_clusters(nodes, edges).collect()}
-    assert {i for i, c in stars.items() if i == c} == {0, 2, 4, 6, 8}
+    stars = {r["id"]: r["centre"] for r in variants.star_clusters(nodes, edges, rest).collect()}
+    assert {i for i, c in stars.items() if i == c} == set(range(0, n, 2)) and all(abs(i - c) <= 1 for i, c in stars.items())
+
+
+@pytest.mark.parametrize("rest", [variants.REST_EDGES, 100, 0])
+def test_stars_of_a_random_graph(spark, rest):
+    rng = random.Random(17)
+    n = 120
+    weight = [rng.randint(0, 9) for _ in range(n)]
+    pairs = sorted({tuple(sorted(rng.sample(range(n), 2))) for _ in range(160)})
+    nodes = spark.createDataFrame(list(enumerate(weight)), "id long, weight long")
+    edges = spark.createDataFrame([(a, b, rng.random()) for a, b in pairs], "a long, b long, score double")
+    stars = {r["id"]: r["centre"] for r in variants.star_clusters(nodes, edges, rest).collect()}
+    assert {i for i, c in stars.items() if i == c} == greedy_centres(n, weight, pairs)
+    assert all(i == c or tuple(sorted((i, c))) in set(pairs) for i, c in stars.items())
+
+
+def test_hot_bands_lose_nothing(spark):
+    rng = random.Random(3)
+    forms = ["Felquist Nompiknom", "Zephrolin Bennidgil", "Rhovenne Litbumfap"]
+    records = spark.createDataFrame([(i, list(names.words_of(rng.choice(forms) + rng.choice(["", "k", "n"]))), "a") for i in range(90)], "id long, words array<string>, block string")
+    plain, split = ({tuple(r) for r in variants.link_names(records, ["block"], heavy=h).select("a", "b").collect()} for h in (10**6, 7))
+    assert plain == split and len(plain) > 500
 
 
 LABEL = "record_id long, case_id string, applicant_name string, species_code string, home_world string, visa_class string, sponsor_id string, arrival_date string, declared_purpose string, extra string"
