@@ -144,7 +144,7 @@ def best_forms(readings: DataFrame, key: str) -> DataFrame:
     """
     counted = readings.where(F.col("name").isNotNull())
     forms = counted.withColumn("words", name_words("name")).where(F.size("words") > 0)
-    forms = forms.groupBy(key, "words").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    forms = cut(forms.groupBy(key, "words").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))  # read twice
     core = forms.groupBy(key).agg(F.max_by("words", F.struct("t", "n", F.size("words"), "words")).alias("core"), F.max("t").alias("most"))
     full = F.aggregate("words", F.lit(0), lambda acc, w: acc + F.when(F.length(w) > 4, 1).otherwise(0))
     core_full = F.aggregate("core", F.lit(0), lambda acc, w: acc + F.when(F.length(w) > 4, 1).otherwise(0))
