@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from packetloom.llm.canonical import lookup
-from packetloom.session import cut
+from packetloom.operators.skew import HEAVY, salted_join
+from packetloom.session import cut, maybe_broadcast
 
 #: Glyph groups and single glyphs taken for one another; fixed values.
 FIRST = ("l!1|(é", "iiiice")
@@ -59,14 +60,18 @@ def masked(text: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: F.when(w.rlike(r"^[^A-Za-z]*[0-9][^A-Za-z]*$") | w.rlike(r"^[A-Za-z]{1,4}-[0-9]"), F.lit("#")).otherwise(skeleton(w))), " ")
 
 
+#: What a line that may be just a number looks like: marks, a word, a number in digits or Roman numerals, "of" a number.
+_MAYBE_NUMBER = r"^[\s\[(—–-]*+(?:[A-Za-z]+\.?\s*)?[0-9lIOoSB|ivxIVXL]{1,7}(?:\s*(?:/|of|0f|ot)\s*[0-9lIOoSB|]{1,4})?[\s\])—–-]*+$"
+
+
 def with_page_number(lines: DataFrame, out: str) -> DataFrame:
-    """``lines`` with the number that a line consists of, null for other lines.
+    """``lines`` with the number that a line consists of, null for other lines; blanks and marks around it do not count.
 
     Built in steps, so that each intermediate text is computed once.
     """
-    short = F.when(F.length("text") <= 60, F.col("text"))  # a page number with its marks is far shorter
-    steps = lines.withColumn("__tidy", F.regexp_replace(F.regexp_replace(short, r"^[\s\[(—–-]+|[\s\])—–-]+$", ""), r"\s+", " "))
-    steps = steps.withColumn("__tidy", F.when(F.length("__tidy") <= 24, F.col("__tidy")))
+    may = F.when(F.col("text").rlike(_MAYBE_NUMBER), F.col("text"))
+    around = r"^[\s\[(—–-]++|(?<![\s\])—–-])[\s\])—–-]++$"
+    steps = lines.withColumn("__tidy", F.regexp_replace(F.regexp_replace(may, around, ""), r"\s+", " "))
     steps = steps.withColumn("__head", skeleton(F.regexp_extract("__tidy", r"^([A-Za-z]+\.?) ?[^ ]+( .*)?$", 1)))
     named = F.col("__head").isin(*_skeletons(PAGE_WORDS))
     steps = steps.withColumn("__rest", F.when(named, F.regexp_replace("__tidy", r"^[A-Za-z]+\.? ?", "")).otherwise(F.col("__tidy")))
@@ -92,58 +97,62 @@ def _skeletons(words: tuple[str, ...]) -> list[str]:
     return out
 
 
-def line_kinds(lines: DataFrame) -> DataFrame:
-    """``lines`` (line_id, case_id, page_index, line_seq, text, ...) with ``kind``: running, page_number, title, text or blank."""
+def line_kinds(lines: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """``lines`` (line_id, case_id, page_index, line_seq, text, ...) with ``kind``: running, page_number, title, text or blank.
+
+    Marks are made of each line's text before any shuffle; only edge lines take
+    part in the joins, and a head that very many lines share is split.
+    """
+    text = F.col("text")
+    words = F.filter(F.split(text, r"[^\p{L}'’@!0-9]+"), lambda w: F.length(w) >= 4)
+    short = F.size(F.split(text, r"\s+")) <= TITLE_WORDS
+    titled = short & (F.size(words) > 0) & F.forall(words, lambda w: w.rlike(r"^[\p{Lu}0-9@!(]")) & ~text.rlike(rf"[.,;:{MARKS}]\s*$")
+    headed = F.coalesce(text.rlike(r"^\s*[\p{Lu}0-9(@]"), F.lit(False))
+    from_one = F.coalesce(~text.rlike("[/o]") | text.rlike(r"(/|of) *[1lI]\s*$"), F.lit(False))
+    blank = ~F.coalesce(text.rlike(r"\S"), F.lit(False))
     page = Window.partitionBy("case_id", "page_index")
-    placed = lines.withColumn("__from_end", F.max("line_seq").over(page) - F.col("line_seq")).withColumn("__from_top", F.col("line_seq") - F.min("line_seq").over(page))
-    placed = placed.withColumn("__edge", F.least("__from_top", "__from_end") < EDGE_LINES)
-    placed = placed.withColumn("__blank", ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)))
-    placed = with_page_number(placed, "__number").withColumn("__number", F.when(F.col("__edge"), F.col("__number")))
-    headed = F.coalesce(F.col("text").rlike(r"^\s*[\p{Lu}0-9(@]"), F.lit(False))
-    key = F.xxhash64(masked(F.coalesce("text", F.lit(""))))
-    from_one = F.coalesce(~F.col("text").rlike("[/o]") | F.col("text").rlike(r"(/|of) *[1lI]\s*$"), F.lit(False))
-    # materialised without the text: the marks are read several times, and filters must not repeat the expressions
-    placed = cut(placed.select("line_id", "case_id", "page_index", "line_seq", "__edge", "__blank", "__number", headed.alias("__headed"), from_one.alias("__from_one"), key.alias("__key")))
+    marked = with_page_number(lines, "__number").select(
+        "line_id", "case_id", "page_index", "line_seq", blank.alias("__blank"), "__number", headed.alias("__headed"), from_one.alias("__from_one"), F.xxhash64(masked(text)).alias("__key"), F.coalesce(titled, F.lit(False)).alias("__titled")
+    )
+    from_edge = F.least(F.col("line_seq") - F.min("line_seq").over(page), F.max("line_seq").over(page) - F.col("line_seq"))
+    placed = marked.withColumn("__edge", from_edge < EDGE_LINES)
+    placed = cut(placed.withColumn("__number", F.when(F.col("__edge"), F.col("__number"))))
     # one row per packet, page and key of the edges: enough for all repetition counts
     edge_keys = placed.where(F.col("__edge") & ~F.col("__blank")).groupBy("case_id", "__key", "page_index").agg(F.count(F.lit(1)).alias("n"), F.max("__headed").alias("headed"))
     edge_keys = cut(edge_keys)
     after = edge_keys.select("case_id", "__key", (F.col("page_index") - 1).alias("page_index"), F.lit(1).alias("again"))
-    pages = placed.select("case_id", "page_index").distinct().groupBy("case_id").agg(F.count(F.lit(1)).alias("__pages"))
+    pages = placed.groupBy("case_id").agg(F.countDistinct("page_index").alias("__pages"), F.min("page_index").alias("page_index"))
+    pages = cut(pages)
     of_case = edge_keys.join(after, ["case_id", "__key", "page_index"], "left").groupBy("case_id", "__key")
     of_case = of_case.agg(F.count(F.lit(1)).alias("__on_pages"), F.sum("n").alias("n"), F.count("again").alias("__again"), F.max("headed").alias("__headed"))
-    of_case = of_case.join(pages, "case_id")
+    of_case = of_case.join(pages.drop("page_index"), "case_id")
     repeated = (F.col("__on_pages") >= 2) & F.col("__headed") & ((F.col("__on_pages") >= 0.5 * (F.col("__pages") - 1)) | (F.col("__again") >= 0.4 * F.col("__on_pages")))
     of_case = cut(of_case.withColumn("__repeated", repeated))
     at_edges = of_case.groupBy("__key").agg(
         F.sum("n").alias("__edge_n"), F.count_if("__repeated").alias("__repeats"), F.count_if(F.col("__pages") >= 2).alias("__multi")
     )
     anywhere = placed.where(~F.col("__blank")).groupBy("__key").agg(F.count(F.lit(1)).alias("__all_n"))
-    known = at_edges.join(anywhere, "__key").where((F.col("__edge_n") >= 0.8 * F.col("__all_n")) & (F.col("__repeats") >= 1))
+    known = at_edges.where("__repeats >= 1").join(anywhere, "__key").where(F.col("__edge_n") >= 0.8 * F.col("__all_n"))
     # running in most of the packets long enough to show it, or in this packet
-    known = cut(known.select("__key", (F.col("__repeats") >= 0.4 * F.col("__multi")).alias("__common")))
-    local = of_case.where("__repeated").join(known.select("__key"), "__key", "left_semi").select("case_id", "__key", F.lit(True).alias("__local"))
+    known = cut(known.select("__key", F.col("__edge_n").alias("n"), (F.col("__repeats") >= 0.4 * F.col("__multi")).alias("__common")))
+    local = of_case.where("__repeated").join(known.where(~F.col("__common")), "__key", "left_semi").select("case_id", "__key", "n")
+    edges = placed.where(F.col("__edge") & ~F.col("__blank") & F.col("__number").isNull()).select("line_id", "case_id", "__key")
+    common = known.where("__common")
+    running = salted_join(edges.select("line_id", "__key"), common.select("__key"), ["__key"], heavy, (common, common.select("__key", F.lit(1).alias("n"))))
+    running = running.select("line_id").unionByName(salted_join(edges, local.drop("n"), ["case_id", "__key"], heavy, (local, local.withColumn("n", F.lit(1)))).select("line_id"))
     # a printed number is right when it counts from one, or goes on from a page nearby
-    counted = placed.where(F.col("__number").isNotNull()).select("case_id", "page_index", (F.col("__number") - F.col("page_index")).alias("__off")).distinct()
-    counted = cut(counted)
+    numbered = placed.where(F.col("__number").isNotNull()).select("line_id", "case_id", "page_index", "__number", "__from_one", (F.col("__number") - F.col("page_index")).alias("__off"))
+    counted = cut(numbered.select("case_id", "page_index", "__off").distinct())
     near = F.explode(F.array(*(F.col("page_index") + d for d in (-2, -1, 1, 2))))
-    confirmed = counted.join(counted.select("case_id", "__off", near.alias("page_index")).distinct(), ["case_id", "page_index", "__off"], "left_semi")
-    confirmed = confirmed.withColumn("__confirmed", F.lit(True))
-    common = known.where("__common").select("__key", F.lit(True).alias("__common"))
-    joined = placed.join(common, "__key", "left").join(local, ["case_id", "__key"], "left")
-    joined = joined.withColumn("__off", F.col("__number") - F.col("page_index")).join(confirmed, ["case_id", "page_index", "__off"], "left")
+    confirmed = counted.join(counted.select("case_id", "__off", near.alias("page_index")).distinct(), ["case_id", "page_index", "__off"], "left_semi").withColumn("__confirmed", F.lit(True))
     first = (F.col("__number") == 1) & F.col("__from_one")
-    numbered = F.col("__number").isNotNull() & ((F.col("__off") == 1) | first | F.coalesce("__confirmed", F.lit(False)))
-    running = F.col("__edge") & F.col("__number").isNull() & (F.coalesce("__common", F.lit(False)) | F.coalesce("__local", F.lit(False)))
-    kind = F.when(F.col("__blank"), "blank").when(F.coalesce(numbered, F.lit(False)), "page_number").when(running, "running").otherwise("text")
-    typed = lines.join(joined.select("line_id", kind.alias("kind")), "line_id")
+    numbers = numbered.join(confirmed, ["case_id", "page_index", "__off"], "left").where((F.col("__off") == 1) | first | F.coalesce("__confirmed", F.lit(False)))
+    found = cut(running.withColumn("kind", F.lit("running")).unionByName(numbers.select("line_id", F.lit("page_number").alias("kind"))))
     # a title: the first line of a packet's first page that is left, short, capitalised and without an end mark
-    first_page = typed.withColumn("__first", F.min(F.when(F.col("kind") == "text", F.col("line_seq"))).over(page))
-    opening = placed.groupBy("case_id").agg(F.min("page_index").alias("__opening"))
-    words = F.filter(F.split("text", r"[^\p{L}'’@!0-9]+"), lambda w: F.length(w) >= 4)
-    short = F.size(F.split("text", r"\s+")) <= TITLE_WORDS
-    titled = short & (F.size(words) > 0) & F.forall(words, lambda w: w.rlike(r"^[\p{Lu}0-9@!(]")) & ~F.col("text").rlike(rf"[.,;:{MARKS}]\s*$")
-    is_title = (F.col("kind") == "text") & (F.col("line_seq") == F.col("__first")) & (F.col("page_index") == F.col("__opening")) & titled
-    return first_page.join(opening, "case_id").withColumn("kind", F.when(is_title, "title").otherwise(F.col("kind"))).drop("__first", "__opening")
+    opening = placed.where(~F.col("__blank")).join(pages.drop("__pages"), ["case_id", "page_index"]).join(found, "line_id", "left_anti")
+    opening = opening.groupBy("case_id").agg(F.min(F.struct("line_seq", "line_id", "__titled")).alias("o")).where("o.__titled")
+    named = found.unionByName(opening.select(F.col("o.line_id").alias("line_id"), F.lit("title").alias("kind")))
+    return lines.join(named, "line_id", "left").withColumn("kind", F.when(blank, "blank").otherwise(F.coalesce("kind", F.lit("text"))))
 
 
 def bare_form(word: Column) -> Column:
@@ -211,8 +220,7 @@ def judge_cuts(cuts: DataFrame, forms: DataFrame) -> DataFrame:
     clean = forms.where(~strange(F.col("form")) & ~F.col("form").contains("("))
     by_skeleton = clean.groupBy(skeleton(F.col("form")).alias("s")).agg(F.sum("support").alias("support"), F.max_by("form", F.struct("support", "form")).alias("right"))
     wanted = cuts.select(F.explode(F.array(*(skeleton(F.col(c)) for c in ("joined", "linked", "h", "t")))).alias("s")).distinct()
-    known = cut(by_skeleton.join(wanted, "s", "left_semi"))
-    known = F.broadcast(known) if known.count() <= 200_000 else known
+    known = maybe_broadcast(cut(by_skeleton.join(wanted, "s", "left_semi")), 200_000)
     out = cuts
     for c in ("joined", "linked", "h", "t"):
         side = known.select(F.col("s").alias(f"s_{c}"), F.col("support").alias(f"n_{c}"), F.col("right").alias(f"right_{c}"))

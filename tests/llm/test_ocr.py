@@ -85,11 +85,18 @@ def test_numbers(spark):
     from pyspark.sql import functions as F  # noqa: F401
 
     cases = {"- 3 -": 3, "Page 2 of 9": 2, "Paqe l of 3": 1, "[12]": 12, "p. 4": 4, "iv": 4, "xii": 12, "Sheet lO": 10, "3/7": 3, "— 1 —": 1, "see page 3": None, "KX-2.": None, "Form K-12": None, "": None}
+    cases |= {" " * 60 + "- 12 -": 12, "- 12 -" + " " * 5000: 12, "Page" + " " * 3000 + "7": 7, " " * 20_000: None, "page " * 4000: None}
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "text string")
     got = {r["text"]: r["n"] for r in ocr.with_page_number(df, "n").collect()}
     assert got == cases | {None: None}
 
 
+def test_shared_heads_are_split_alike(spark):
+    lines, _ = frames(spark)
+    plain, split = (sorted((r["line_id"], r["kind"]) for r in ocr.line_kinds(lines, h).collect()) for h in (10**6, 1))
+    assert plain == split and len({i for i, _ in plain}) == len(plain) == lines.count()
+
+
 def test_empty_tables(spark):
     lines, tokens = frames(spark)
     assert ocr.findings(lines.limit(0), tokens.limit(0)).count() == 0
