@@ -6,9 +6,11 @@ or that does so in other packets; a page number is an edge line whose number is
 the page's.  What is left is text, apart from a title above it.
 
 Word forms are then grouped by their skeleton, in which glyphs that scanners
-confuse coincide.  Within a group the frequent form is right and rare ones are
+confuse coincide.  Within a group frequent forms are right and rare ones are
 misread; forms with glyphs that no word has are misread in any case.  Counts
-come from all tokens, weighted by their confidence.  A word cut at a line's end
+come from all tokens, weighted by their confidence.  Which frequent form is
+meant, and whether a rare one is a word of its own, the neighbours in the line
+decide: the form that the corpus has beside them most often.  A word cut at a line's end
 is joined when the corpus knows the joined form better than the hyphenated one.
 
 Everything is column expressions; windows run over one page, packets are tied
@@ -179,18 +181,62 @@ def strange(form: Column) -> Column:
 
 
 def misread_forms(forms: DataFrame) -> DataFrame:
-    """(form, right): every misread form with the form meant, null where none is known."""
-    clean = ~strange(F.col("form")) & ~F.col("form").contains("(")
-    found = None
-    for groups in (GROUPS, GROUPS_TURNED, GROUPS_NONE):
-        keyed = forms.withColumn("skeleton", skeleton(F.col("form"), groups))
-        best = keyed.where(clean).groupBy("skeleton").agg(F.max_by("form", F.struct("support", "form")).alias("right"), F.max("support").alias("most"))
-        ratio = F.when(F.length("form") <= 4, SHORT_RATIO).otherwise(LONG_RATIO)
-        weaker = (F.col("support") < ratio * F.col("most")) | strange(F.col("form")) | F.col("form").contains("(")
-        part = keyed.join(best, "skeleton").where((F.col("form") != F.col("right")) & weaker & ~F.col("form").rlike(_CODE)).select("form", "right", "most")
-        found = part if found is None else found.unionByName(part)
-    lone = forms.where(strange(F.col("form"))).select("form", F.lit(None).cast("string").alias("right"), F.lit(0.0).alias("most"))
-    return found.unionByName(lone).groupBy("form").agg(F.max_by("right", "most").alias("right"))
+    """(form, odd, options): every form that may be misread, with the forms it may stand for.
+
+    ``options`` are (right, support) of the strongest clean form of each skeleton
+    group, and of the second one where it is no rare form itself; empty where
+    none is known.  An ``odd`` form holds glyphs that no word has.
+    """
+    word = F.col("form")
+    skeletons = F.array(*(skeleton(word, g) for g in (GROUPS, GROUPS_TURNED, GROUPS_NONE)))
+    odd = strange(word) | word.contains("(")
+    keyed = cut(forms.select("form", "support", odd.alias("odd"), strange(word).alias("strange"), word.rlike(_CODE).alias("code"), F.posexplode(skeletons).alias("g", "skeleton")))
+    place = Window.partitionBy("g", "skeleton").orderBy(F.desc("support"), F.desc("form"))
+    best = keyed.where(~F.col("odd")).withColumn("place", F.row_number().over(place)).where("place <= 2")
+    rights = best.select("g", "skeleton", F.col("form").alias("right"), F.col("support").alias("most"), "place")
+    ratio = F.when(F.length("form") <= 4, SHORT_RATIO).otherwise(LONG_RATIO)
+    weaker = (F.col("support") < ratio * F.col("most")) | F.col("odd")
+    part = keyed.where(~F.col("code")).join(rights, ["g", "skeleton"]).where((F.col("form") != F.col("right")) & weaker)
+    # a form is misread for the strongest of its group; the second one is a rival of that, when strong enough
+    found = part.groupBy("form", "g").agg(F.max("odd").alias("odd"), F.max(F.when(F.col("place") == 1, F.struct("most", "right"))).alias("one"), F.max(F.when(F.col("place") == 2, F.struct("most", "right"))).alias("two"))
+    rival = F.when(F.col("two.most") >= LONG_RATIO * F.col("one.most"), F.struct(F.col("two.right").alias("right"), F.col("two.most").alias("most")))
+    pairs = found.where(F.col("one").isNotNull()).select("form", "odd", F.explode(F.array_compact(F.array(F.struct(F.col("one.right").alias("right"), F.col("one.most").alias("most")), rival))).alias("o"))
+    lone = keyed.where(F.col("strange") & (F.col("g") == 0)).select("form", F.lit(True).alias("odd"), F.lit(None).cast("struct<right:string,most:double>").alias("o"))
+    return pairs.unionByName(lone).groupBy("form").agg(F.max("odd").alias("odd"), F.collect_set("o").alias("options"))
+
+
+def context_word(word: Column) -> Column:
+    """A word as its neighbours know it: lower case without marks."""
+    return F.translate(F.lower(word), ".,;:?\"“”'‘’()[]", "")
+
+
+def in_context(text_lines: DataFrame, hits: DataFrame) -> DataFrame:
+    """line_id, at, right of the hits that are misread, with the option that their neighbours support most.
+
+    ``hits``: line_id, at, form, odd, options, before, after (the neighbours in
+    the line).  Support is the number of times that the corpus has the neighbour
+    beside the option; among equals the frequent form is chosen.  A form without
+    strange glyphs is left alone when its neighbours support it, elsewhere, more
+    than every option.  Only the pairs of words asked for are counted.
+    """
+    own = F.when(~F.col("odd"), F.array(F.struct(F.col("form").alias("right"), F.lit(-1.0).alias("most")))).otherwise(F.array().cast("array<struct<right:string,most:double>>"))
+    asked = hits.where(F.size("options") + F.when(F.col("odd"), 0).otherwise(1) > 1)
+    asked = cut(asked.select("line_id", "at", "form", "before", "after", F.inline(F.concat("options", own))).withColumn("c", context_word(F.col("right"))))
+    wanted = asked.select(F.inline(F.array(F.struct(F.col("before").alias("a"), F.col("c").alias("b")), F.struct(F.col("c").alias("a"), F.col("after").alias("b"))))).where("a <> '' AND b <> ''").distinct()
+    words = F.transform(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+"), context_word)
+    beside = text_lines.select(F.explode(F.arrays_zip(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))).alias("a"), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))).alias("b"))).alias("p")).select("p.*")
+    counts = cut(lookup(beside, wanted, ["a", "b"], 500_000).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+    left = counts.select(F.col("a").alias("before"), F.col("b").alias("c"), F.col("n").alias("n_before"))
+    right = counts.select(F.col("b").alias("after"), F.col("a").alias("c"), F.col("n").alias("n_after"))
+    seen = asked.join(left, ["before", "c"], "left").join(right, ["after", "c"], "left")
+    itself = F.col("most") < 0
+    # the occurrence itself does not count for its own form
+    support = F.coalesce("n_before", F.lit(0)) + F.coalesce("n_after", F.lit(0))
+    alone = F.when(itself, F.when(F.col("before") != "", 1).otherwise(0) + F.when(F.col("after") != "", 1).otherwise(0)).otherwise(0)
+    chosen = seen.withColumn("support", support - alone).groupBy("line_id", "at").agg(F.max(F.struct("support", "most", "right")).alias("best"), F.max(F.when(~itself, F.struct("support", "most", "right"))).alias("other"))
+    kept = chosen.where((F.col("best.most") >= 0) | (F.col("best.support") <= 0)).select("line_id", "at", F.col("other.right").alias("right"))
+    plain = hits.where(F.size("options") + F.when(F.col("odd"), 0).otherwise(1) <= 1)
+    return kept.unionByName(plain.select("line_id", "at", F.try_element_at("options", F.lit(1))["right"].alias("right")))
 
 
 def cut_words(text_lines: DataFrame) -> DataFrame:
@@ -231,10 +277,14 @@ def judge_cuts(cuts: DataFrame, forms: DataFrame) -> DataFrame:
     return out.select("line_id", "next_id", "h", "t", "joined", is_break.alias("is_break"), F.when(is_break, F.col("right_joined")).otherwise(F.col("right_linked")).alias("right"))
 
 
-def words_of(text_lines: DataFrame) -> DataFrame:
-    """line_id, at, word of the whole words of text lines; the caller drops cut ones."""
+def words_of(text_lines: DataFrame, neighbours: bool = False) -> DataFrame:
+    """line_id, at, word of the whole words of text lines, on demand with ``before`` and ``after``; the caller drops cut ones."""
     words = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")
-    return text_lines.select("line_id", F.posexplode(words).alias("at", "word"))
+    if not neighbours:
+        return text_lines.select("line_id", F.posexplode(words).alias("at", "word"))
+    exploded = text_lines.select("line_id", words.alias("words")).select("line_id", "words", F.posexplode("words").alias("at", "word"))
+    beside = [F.coalesce(context_word(F.get("words", F.col("at") + step)), F.lit("")).alias(name) for step, name in ((-1, "before"), (1, "after"))]
+    return exploded.select("line_id", "at", "word", *beside)
 
 
 def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -253,13 +303,14 @@ def repair(lines: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame, D
     whole_words = words_of(text_lines)
     unseen = whole_words.select("word").distinct().join(raw.select("word"), "word", "left_anti")
     spelled = raw.select("word", "form").unionByName(unseen.withColumn("form", bare_form(F.col("word"))))
-    wrong = spelled.join(misread_forms(forms), "form").select("word", "right")
+    wrong = spelled.join(misread_forms(forms), "form").select("word", "form", "odd", "options")
     halves = cuts.select(F.col("line_id").alias("line_id"), F.lit(-1).alias("side")).unionByName(cuts.select(F.col("next_id").alias("line_id"), F.lit(0).alias("side")))
     last = F.size(F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"\s+")) - 1
     sized = text_lines.select("line_id", "text", last.alias("last"))
     skip = halves.join(sized.select("line_id", "last"), "line_id").select("line_id", F.when(F.col("side") == 0, F.lit(0)).otherwise(F.col("last")).alias("at")).distinct()
     # cut here, or the optimizer would move the anti join below the lookup and shuffle every word
-    hits = cut(lookup(whole_words, wrong, ["word"], 500_000).select("line_id", "at", "right"))
+    hits = cut(lookup(words_of(text_lines, True), wrong, ["word"], 500_000).select("line_id", "at", "form", "odd", "options", "before", "after"))
+    hits = cut(in_context(text_lines, hits))
     whole = hits.join(skip, ["line_id", "at"], "left_anti")
     whole = whole.select("line_id", "at", "right")
     # a cut word is compared with the word meant; the half that differs is the misread one

@@ -73,6 +73,20 @@ def test_first_words_of_lines_are_repaired(spark):
     }
 
 
+def test_neighbours_choose_among_forms(spark):
+    # "batter" and "hatter" share a skeleton and are equally frequent; each stands beside words of its own
+    known = ["the white batter bowl stood"] * 40 + ["the felt hatter shop closed"] * 40
+    rare = ["the white h@tter bowl stood", "the felt h@tter shop closed", "the old haffer porter slept", "the old haffer porter slept", "the felt haffer shop closed"]
+    texts = known + rare
+    rows = [(i, f"c{i}", 0, 0, t, 1, 1) for i, t in enumerate(texts)]
+    tokens = [(w, 0.9) for t in texts for w in t.split()]
+    lines = spark.createDataFrame(rows, LINES)
+    _, _, _, repairs = ocr.repair(lines, spark.createDataFrame(tokens, "text string, confidence double"))
+    got = {(texts[r["line_id"]], r["right"]) for r in repairs.collect()}
+    # "haffer" beside its own neighbours is a word, beside those of "hatter" it is misread
+    assert got == {("the white h@tter bowl stood", "batter"), ("the felt h@tter shop closed", "hatter"), ("the felt haffer shop closed", "hatter")}
+
+
 def test_skeletons_coincide(spark):
     pairs = [("manifest", "rnanifest"), ("officer", "0fflcer"), ("clerk", "(1erk"), ("under", "urider"), ("quiet", "qiiiet"), ("window", "vvinclovv"), ("the", "fhc"), ("certificate", "certiﬁcafe")]
     df = spark.createDataFrame(pairs, "a string, b string")
