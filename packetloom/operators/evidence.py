@@ -56,7 +56,7 @@ def without_rescinded(evidence: DataFrame) -> DataFrame:
 
 
 def resolve(evidence: DataFrame, grid: DataFrame | None = None) -> DataFrame:
-    """case_id, field_name, state, value, winner (cand_id), rank, n_considered of each field.
+    """case_id, field_name, state, reason, value, winner (cand_id), rank, n_considered of each field.
 
     The best rank speaks; corrections among it, if any, speak alone; one value
     is RESOLVED, several are CONTESTED, none is UNKNOWN.  The winner is the
@@ -79,8 +79,10 @@ def resolve(evidence: DataFrame, grid: DataFrame | None = None) -> DataFrame:
     joined = base.join(spoken, keys, "left")
     one = F.col("low") == F.col("high")
     state = F.when(F.col("low").isNull(), "UNKNOWN").when(one, "RESOLVED").otherwise("CONTESTED")
+    at_rank = F.concat(F.when(one, "resolved at precedence rank ").otherwise("same-rank conflict at precedence rank "), F.col("rank").cast("string"))
+    reason = F.when(F.col("low").isNull(), "no eligible evidence").otherwise(at_rank)
     return joined.select(
-        *keys, state.alias("state"), F.when(one, F.col("low")).alias("value"), F.when(one, F.col("winner")).alias("winner"), "rank", F.coalesce("n_considered", F.lit(0)).alias("n_considered")
+        *keys, state.alias("state"), reason.alias("reason"), F.when(one, F.col("low")).alias("value"), F.when(one, F.col("winner")).alias("winner"), "rank", F.coalesce("n_considered", F.lit(0)).alias("n_considered")
     )
 
 

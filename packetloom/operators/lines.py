@@ -194,3 +194,56 @@ def text_spans(chars: DataFrame, limit: int = 20_000) -> DataFrame:
         geometry.union_of("box").alias("box"), F.max("off_crop").alias("off_crop"), (F.max("__all") > limit).alias("truncated"), F.min("pos").alias("start"),
     )
     return spans.drop("__island")
+
+
+def _heading_of(text: Column, headings: tuple) -> Column:
+    """The first type of the list one of whose phrases the text holds, null for none."""
+    low, kind = F.lower(text), F.lit(None).cast("string")
+    for name, phrases in reversed(headings):
+        found = F.lit(False)
+        for phrase in phrases:
+            found = found | low.contains(phrase)
+        kind = F.when(found, name).otherwise(kind)
+    return kind
+
+
+def first_heading(lines: DataFrame, headings: tuple = PAGE_HEADINGS, first_lines: int = 4, default: str = "intake_form") -> DataFrame:
+    """case_id, page_index, evidence_type: the first of the leading lines with a heading of another type than the default decides."""
+    top = lines.withColumn("rn", F.row_number().over(page_window())).where(F.col("rn") <= first_lines)
+    kind = _heading_of(F.col("text"), tuple(h for h in headings if h[0] != default))
+    named = top.groupBy("case_id", "page_index").agg(F.min(F.when(kind.isNotNull(), F.struct("rn", kind.alias("kind")))).alias("first"))
+    return named.select("case_id", "page_index", F.coalesce("first.kind", F.lit(default)).alias("evidence_type"))
+
+
+def page_markers(lines: DataFrame, headings: tuple, marked: tuple[str, ...], first_lines: int = 4) -> DataFrame:
+    """case_id, page_index, page_type, confidence (the least of the leading lines), box (around them) of the pages of the marked types."""
+    top = lines.withColumn("rn", F.row_number().over(page_window())).where(F.col("rn") <= first_lines)
+    around = top.groupBy("case_id", "page_index").agg(F.coalesce(F.min("confidence"), F.lit(1.0)).alias("confidence"), geometry.union_of("box").alias("box"))
+    return page_types(lines, headings, first_lines).where(F.col("page_type").isin(*marked)).join(around, ["case_id", "page_index"])
+
+
+def page_medians(lines: DataFrame) -> DataFrame:
+    """case_id, page_index, n_lines, median (the mean of the two middle ones of an even number), upper_median (the upper of them)."""
+    read = lines.where(F.col("confidence").isNotNull() & F.coalesce(F.col("text").rlike("[A-Za-z0-9]"), F.lit(False)))
+    page = Window.partitionBy("case_id", "page_index")
+    placed = read.withColumn("rn", F.row_number().over(page.orderBy("confidence", "line_id"))).withColumn("n", F.count(F.lit(1)).over(page))
+    return placed.groupBy("case_id", "page_index").agg(
+        F.max("n").alias("n_lines"), F.percentile("confidence", F.lit(0.5)).alias("median"), F.max(F.when(F.col("rn") == F.floor(F.col("n") / 2) + 1, F.col("confidence"))).alias("upper_median")
+    )
+
+
+def retry_pages(lines: DataFrame, evidence: DataFrame, pages: int = 2) -> DataFrame:
+    """case_id, page_index, place: the packet's ``pages`` pages worth another reading.
+
+    Pages with the fewest rows of evidence come first, then those with the
+    fewest lines, the lowest upper median, the lowest index.
+    """
+    held = evidence.where(F.col("value").rlike(r"\S")).groupBy("case_id", "page_index").agg(F.count(F.lit(1)).alias("n_rows"))
+    ranked = page_medians(lines).join(held, ["case_id", "page_index"], "left")
+    order = Window.partitionBy("case_id").orderBy(F.coalesce("n_rows", F.lit(0)), "n_lines", "upper_median", "page_index")
+    return ranked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pages).select("case_id", "page_index", "place")
+
+
+def trusted_spans(spans: DataFrame) -> DataFrame:
+    """Spans of an authoritative text layer that lie on the visible page; unknown marks are not trusted."""
+    return spans.where(F.coalesce(F.col("authoritative") & ~F.col("off_crop"), F.lit(False)))

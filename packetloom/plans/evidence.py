@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from packetloom.functions import text as tx
 from packetloom.operators import consensus, evidence
-from packetloom.session import table
+from packetloom.session import small_rows, table
 
 FIELDS = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose", "fee_status")
 
@@ -24,7 +24,10 @@ def resolved_fields(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: every (case, field) resolved by ranked precedence, unobserved fields as UNKNOWN."""
     rows = _evidence(spark, d)
     fields = rows.select("field_name").distinct()
-    grid = rows.select("case_id").distinct().join(F.broadcast(fields), F.lit(True))  # a closed list of about twenty fields
+    names = small_rows(fields, 1000)  # a closed list of about twenty fields
+    if names is None:
+        raise ValueError("more fields than a closed list has")
+    grid = rows.select("case_id").distinct().select("case_id", F.explode(F.array(*(F.lit(r["field_name"]) for r in names))).alias("field_name")) if names else rows.select("case_id", "field_name")
     return evidence.resolve(rows, grid)
 
 
@@ -65,7 +68,7 @@ def agreed_views(spark: SparkSession, d: str) -> DataFrame:
 
 
 def voted_views(spark: SparkSession, d: str) -> DataFrame:
-    return consensus.agreed(_views(spark, d), 2, max_values=1_000_000)
+    return consensus.agreed(_views(spark, d), 2)
 
 
 def two_pass(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +109,8 @@ _FLAG = "list_sort(list_distinct(list_filter(list_transform(string_split(lower(c
 
 ORACLE = {
     "r4_resolved_fields": f"""WITH {_RESOLVE}, g AS (SELECT * FROM (SELECT DISTINCT case_id FROM candidate_evidence), (SELECT DISTINCT field_name FROM candidate_evidence))
-        SELECT case_id, field_name, CASE WHEN low IS NULL THEN 'UNKNOWN' WHEN low = high THEN 'RESOLVED' ELSE 'CONTESTED' END AS state, CASE WHEN low = high THEN low END AS value, CASE WHEN low = high THEN win END AS winner, "rank", coalesce(n, 0) AS n_considered
+        SELECT case_id, field_name, CASE WHEN low IS NULL THEN 'UNKNOWN' WHEN low = high THEN 'RESOLVED' ELSE 'CONTESTED' END AS state,
+        CASE WHEN low IS NULL THEN 'no eligible evidence' WHEN low = high THEN 'resolved at precedence rank ' || "rank" ELSE 'same-rank conflict at precedence rank ' || "rank" END AS reason, CASE WHEN low = high THEN low END AS value, CASE WHEN low = high THEN win END AS winner, "rank", coalesce(n, 0) AS n_considered
         FROM g LEFT JOIN c USING (case_id, field_name) LEFT JOIN w USING (case_id, field_name)""",
     "r4_against_passes": f"""WITH {_RESOLVE}, s AS (SELECT * FROM resolved_fields QUALIFY row_number() OVER (PARTITION BY case_id, field_name ORDER BY pass_no DESC, resolved_at DESC, resolved_id DESC) = 1),
         r AS (SELECT case_id, field_name, CASE WHEN low IS NULL THEN 'unknown' WHEN low = high THEN 'resolved' ELSE 'contested' END AS st, CASE WHEN low = high THEN low END AS val FROM c LEFT JOIN w USING (case_id, field_name))
@@ -121,7 +125,7 @@ ORACLE = {
     "l7_corroborated_values": f"""WITH s AS (SELECT case_id, field_name, value FROM candidate_evidence WHERE {_ELIGIBLE} GROUP BY 1, 2, 3 HAVING count(DISTINCT page_index) >= 2 AND count(DISTINCT {_KIND}) >= 2)
         SELECT case_id, field_name, min(value) AS value FROM s GROUP BY 1, 2 HAVING count(*) = 1""",
     "c3_agreed_views": f"WITH {_VIEWS} SELECT case_id, field_name, min(value) AS value, max(k) AS n_views FROM n GROUP BY 1, 2 HAVING count(*) = 1 AND max(k) >= 3",
-    "c6_voted_views": f"WITH {_VIEWS}, r AS (SELECT *, row_number() OVER (PARTITION BY case_id, field_name ORDER BY k DESC, value DESC) AS rn FROM n) SELECT case_id, field_name, value, k AS n_views FROM r WHERE rn = 1 AND k >= 2",
+    "c6_voted_views": f"WITH {_VIEWS} SELECT case_id, field_name, min(value) AS value, max(k) AS n_views FROM n GROUP BY 1, 2 HAVING count(*) = 1 AND max(k) >= 2",
     "c7_two_pass": f"""WITH {_VIEWS}, p AS (SELECT case_id, field_name, view, min(value) AS value FROM v WHERE view IN ('run_001', 'run_002') GROUP BY 1, 2, 3 HAVING min(value) = max(value))
         SELECT a.case_id, a.field_name, a.value FROM p a JOIN p b ON a.case_id = b.case_id AND a.field_name = b.field_name AND a.value = b.value AND a.view = 'run_001' AND b.view = 'run_002'""",
     "w2_vote_leads": f"""WITH {_VIEWS}, r AS (SELECT *, row_number() OVER (PARTITION BY case_id, field_name ORDER BY k DESC, value DESC) AS rn FROM n),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import os
 import tempfile
@@ -57,6 +58,13 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
         return _typed(raw)
     if suffix in (".jsonl", ".ndjson"):
         return spark.read.schema(PREDICTION).json(path)
+    if suffix != ".json":
+        # unknown suffixes are told by the first mark: a list or one object is JSON, several objects are lines, else CSV
+        heads = [r["value"].strip() for r in spark.read.text(path).where(F.col("value").rlike(r"\S")).limit(2).collect()]
+        if heads and heads[0][0] not in "[{":
+            return _typed(spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path))
+        if len(heads) == 2 and all(h.startswith("{") and h.endswith("}") for h in heads):
+            return spark.read.schema(PREDICTION).json(path)
     whole = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
     wrapped = T.StructType([T.StructField(w, T.ArrayType(PREDICTION)) for w in WRAPPERS])
     parsed = whole.select(
@@ -99,11 +107,57 @@ def write_predictions(rows: DataFrame, path: str) -> int:
     return n
 
 
+def _checked_target(path: str, refused: str | None) -> Path:
+    target = Path(path)
+    if refused is not None and Path(refused).resolve() in (target.resolve(), *target.resolve().parents):
+        raise ValueError("a report may not be written among the artifacts")
+    target.parent.mkdir(parents=True, exist_ok=True)
+    return target
+
+
+def write_report_json(value: dict, path: str, refused: str | None = None) -> None:
+    """A report of bounded size as indented JSON with sorted keys, moved into place when complete; ``refused`` is a folder it may not lie in."""
+    target = _checked_target(path, refused)
+    temporary = target.with_name(f".{target.name}.tmp")
+    temporary.write_text(json.dumps(value, indent=2, sort_keys=True) + "\n", encoding="utf-8")
+    temporary.replace(target)
+
+
+def write_report_csv(rows: DataFrame, path: str, refused: str | None = None) -> int:
+    """Rows as one CSV file with a header, moved into place when complete; the number of rows.  No rows are an error.
+
+    The rows pass through a local iterator, one partition at a time.
+    """
+    target = _checked_target(path, refused)
+    temporary = target.with_name(f".{target.name}.tmp")
+    n = 0
+    with temporary.open("w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out)
+        writer.writerow(rows.columns)
+        for r in rows.toLocalIterator():
+            writer.writerow(r)
+            n += 1
+    if not n:
+        temporary.unlink()
+        raise ValueError("a report without rows")
+    temporary.replace(target)
+    return n
+
+
 def write_case_scores(cases: DataFrame, folder: str) -> None:
     """Case scores as JSON with sorted keys, one part a task."""
     cases.select(*sorted(cases.columns)).write.mode("overwrite").json(folder)
 
 
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """case_id of a manifest: the column of a CSV file, or the stems of a folder's files; each once, blanks left out."""
+    if Path(path).suffix.lower() == ".csv":
+        ids = spark.read.option("header", True).csv(path).select(tx.strip(F.col("case_id")).alias("case_id"))
+    else:
+        ids = spark.read.format("binaryFile").load(path).select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "").alias("case_id"))
+    return ids.where(F.col("case_id").rlike(r"\S")).distinct()
+
+
 def read_artifact(path: str, keys: set[str], version: int) -> dict:
     """A versioned JSON artifact with exactly these keys; its digest is that of its canonical form."""
     import hashlib
