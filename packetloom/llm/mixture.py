@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-RANGES = 1024
+from packetloom.session import cut, maybe_broadcast
+
 
 
 def budgets(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def budgets(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix(sized: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     """source, doc_id, n_tokens, repeats of the records used (``sized``: doc_id, source, n_tokens)."""
-    plan = budgets(sized, targets).select("source", "available", "budget")
+    plan = maybe_broadcast(cut(budgets(sized, targets).select("source", "available", "budget")))
     key = F.xxhash64(F.lit(seed), "doc_id")
     rows = sized.where(F.col("n_tokens") > 0).select("source", "doc_id", "n_tokens", key.alias("key"))
     rows = rows.withColumn("range", F.shiftright("key", 54).cast("int"))  # 1024 ranges in key order
@@ -45,7 +46,7 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("source", "range", F.coalesce(F.sum("in_range").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = rows.withColumn("upto", F.sum("n_tokens").over(inside)).join(starts, ["source", "range"]).join(F.broadcast(plan), "source")
+    summed = rows.withColumn("upto", F.sum("n_tokens").over(inside)).join(starts, ["source", "range"]).join(plan, "source")
     end = F.col("start") + F.col("upto")
     whole = F.floor(F.col("budget") / F.col("available"))
     rest = F.col("budget") - whole * F.col("available")
