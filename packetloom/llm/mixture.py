@@ -22,7 +22,6 @@ from pyspark.sql.window import Window
 from packetloom.session import cut, maybe_broadcast
 
 
-
 def budgets(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """source, target_share, max_repeats, available, budget (tokens) of every target."""
     held = sized.where(F.col("n_tokens") > 0).groupBy("source").agg(F.sum("n_tokens").alias("available"))
